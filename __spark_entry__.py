@@ -33,7 +33,13 @@ from pricepanel.schema import (  # noqa: E402
     Period,
     panel_columns,
 )
-from pricepanel.sources.panels import read_panel, write_audit, write_panel  # noqa: E402
+from pricepanel.sources.panels import (  # noqa: E402
+    read_panel,
+    write_audit,
+    write_by_period,
+    write_panel,
+)
+from pricepanel.sources.quotes import read_quotes  # noqa: E402
 from pricepanel.sources.star import star_quotes  # noqa: E402
 from pricepanel.tables import has_checkpoint_dir  # noqa: E402
 
@@ -58,36 +64,53 @@ def show_panel(df: DataFrame, level: str) -> DataFrame:
     return show(df, *panel_columns(level))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, which all executors can reach."""
+    if not has_checkpoint_dir(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{spark.sparkContext.getCheckpointDir()}/export-{uuid.uuid4().hex}"
+
+
+_landed: dict[tuple[str, str], str] = {}
+
+
+def landed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quote table stored by month, written once per application and directory.
+
+    The operators expect quotes this way: a month is then a partition, where the
+    sample tables would be joined and read in full for each month.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        path = scratch(spark)
+        write_by_period(star_quotes(spark, sf_dir), path)
+        _landed[key] = path
+    return read_quotes(spark, _landed[key])
+
+
 def history(spark: SparkSession, sf_dir: str) -> History:
-    return build_history(star_quotes(spark, sf_dir))
+    return build_history(landed_quotes(spark, sf_dir))
 
 
 def new_month(spark: SparkSession, sf_dir: str, **options: bool) -> RollForward:
     """June, rolled forward from the panel of the months before."""
-    quotes = star_quotes(spark, sf_dir)
+    quotes = landed_quotes(spark, sf_dir)
     return roll_forward(quotes, build_history(quotes).panels(), **options)
 
 
 def all_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qt.valid_quotes(qt.regime_filter(star_quotes(spark, sf_dir)))
+    return qt.valid_quotes(qt.regime_filter(landed_quotes(spark, sf_dir)))
 
 
 def voted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lv.dep_price_from_sums(lv.size_sums(all_valid(spark, sf_dir)))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder next to the checkpoints, which all executors can reach."""
-    if not has_checkpoint_dir(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{spark.sparkContext.getCheckpointDir()}/export-{uuid.uuid4().hex}"
-
-
 # Row operators
 
 
 def period_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = qt.period_quotes(star_quotes(spark, sf_dir), MAY)
+    rows = qt.period_quotes(landed_quotes(spark, sf_dir), MAY)
     return show(rows, *LINE, "precio_actual", "tipo_precio")
 
 
@@ -123,7 +146,7 @@ def normalize_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_following(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = star_quotes(spark, sf_dir)
+    quotes = landed_quotes(spark, sf_dir)
     may = lv.size_sums(qt.valid_quotes(qt.period_quotes(quotes, MAY)))
     april = qt.valid_quotes(qt.period_quotes(quotes, APRIL))
     kept = outlier_band_following(april, lv.dep_price_from_sums(may))
@@ -132,7 +155,7 @@ def band_following(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def band_previous(keep_unreferenced: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        quotes = star_quotes(spark, sf_dir)
+        quotes = landed_quotes(spark, sf_dir)
         stored = build_history(quotes).filled("dep")
         prior = fill.prior_slice(stored, "dep", ROLL_FORWARD_PERIOD.previous())
         june = qt.valid_quotes(qt.period_quotes(quotes, ROLL_FORWARD_PERIOD))
@@ -200,7 +223,7 @@ def description_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = build_history(star_quotes(spark, sf_dir), keep_votes=True)
+    built = build_history(landed_quotes(spark, sf_dir), keep_votes=True)
     used = (built.audit(period) for period in built.periods)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), used)
     return show(stacked, *LINE, "precio_base", "pgeo")

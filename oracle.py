@@ -35,7 +35,7 @@ DESCRIBED = {
 }
 
 QUOTES = """
-SELECT q.*, 'VAR-' || codigo_articulo AS articulo, 'PROD-' || cod AS producto_nombre
+SELECT q.*, 'VAR-' || codigo_articulo || variant AS articulo, 'PROD-' || cod AS producto_nombre
 FROM (
   SELECT r.*,
          CASE WHEN codigo_articulo = '104000111' THEN '1040001'
@@ -67,6 +67,9 @@ FROM (
            CASE WHEN l_linenumber = 2 AND l_orderkey % 53 = 0 THEN NULL
                 WHEN l_linenumber = 1 AND year(l_shipdate) <= 1996 THEN 'IPC-2010'
                 ELSE 'IPC-2023' END AS tipo_precio,
+           CASE WHEN p_size = 45
+                THEN '-R' || CASE WHEN s_suppkey % 50 <> 7 THEN n_regionkey END
+                ELSE '' END AS variant,
            CAST(CASE WHEN year(l_shipdate) = 1995 THEN 12
                      ELSE year(l_shipdate) - 1995 END AS INTEGER) AS mes,
            CAST(CASE WHEN year(l_shipdate) = 1995 THEN 2023 ELSE 2024 END AS INTEGER) AS anio

@@ -13,8 +13,11 @@ from pricepanel.schema import QUOTE_SCHEMA, Period
 
 
 def conform_quotes(raw: DataFrame) -> DataFrame:
-    """Cast to the quote schema: what cannot be cast and NaN become null."""
-    return raw.select(*(_cast(field).alias(field.name) for field in QUOTE_SCHEMA.fields))
+    """Cast to the quote schema: what cannot be cast and NaN become null.
+
+    Columns beyond the schema, such as identifiers, are kept as they are.
+    """
+    return raw.withColumns({field.name: _cast(field) for field in QUOTE_SCHEMA.fields})
 
 
 def _cast(field: T.StructField):

@@ -4,7 +4,8 @@ Every sales line is one quote. The seven ship years stand for the seven months
 December 2023 to June 2024, variety codes come from part sizes and departments from
 supplier nations. Some lines become the odd cases the panel has to deal with: null and
 zero quantities, zero and negative prices, null codes and departments, an older price
-regime, and varieties that are quoted in some months only.
+regime, varieties that are quoted in some months only, and varieties with several
+descriptions.
 """
 
 from __future__ import annotations
@@ -17,22 +18,31 @@ from pricepanel.functions.columns import product_code
 FIRST_YEAR = 1995
 
 
-def _variety(year: Column) -> Column:
+def _part_code() -> Column:
+    """Variety code of a part, as it stands in most months."""
     size, group = F.col("p_size"), F.col("p_partkey") % 4
     return (
-        F.when(F.col("l_orderkey") % 1009 == 0, F.lit(None))
-        .when((size == 50) & (group == 0), F.lit("1113011"))
-        .when((size == 50) & (group == 1), F.lit("1113021"))
-        .when((size == 50) & (group == 2), F.lit("1230011"))
-        .when(size == 50, F.lit("1230012"))
-        .when(size == 49, F.lit("104000111"))
-        .when((size == 48) & (year == FIRST_YEAR), F.lit("2999001"))
-        .when((size == 47) & (year < FIRST_YEAR + 4), F.lit("2999011"))
-        .when((size == 46) & (year == FIRST_YEAR + 6), F.lit("2999021"))
+        F.when((size == 50) & (group == 0), "1113011")
+        .when((size == 50) & (group == 1), "1113021")
+        .when((size == 50) & (group == 2), "1230011")
+        .when(size == 50, "1230012")
+        .when(size == 49, "104000111")
         .otherwise((2000000 + size * 10 + group).cast("string"))
     )
 
 
+def _variety() -> Column:
+    """Variety code of a line: null at times, and some codes exist in some months only."""
+    size, year = F.col("p_size"), F.col("year")
+    return (
+        F.when(F.col("l_orderkey") % 1009 == 0, F.lit(None))
+        .when((size == 48) & (year == FIRST_YEAR), "2999001")
+        .when((size == 47) & (year < FIRST_YEAR + 4), "2999011")
+        .when((size == 46) & (year == FIRST_YEAR + 6), "2999021")
+        .otherwise(F.col("part_code"))
+    )
+
+
 def _price() -> Column:
     price = (
         F.col("p_retailprice")
@@ -42,7 +52,7 @@ def _price() -> Column:
         * F.ceil(F.col("l_quantity") / 10.0).cast("double")
     )
     return (
-        F.when(F.col("l_orderkey") % 97 == 0, F.lit(0.0))
+        F.when(F.col("l_orderkey") % 97 == 0, 0.0)
         .when(F.col("l_orderkey") % 101 == 0, -price)
         .otherwise(price)
     )
@@ -54,7 +64,9 @@ def star_quotes(spark: SparkSession, directory: str) -> DataFrame:
         spark.read.parquet(f"{directory}/{t}.parquet")
         for t in ("lineitem", "part", "supplier", "nation")
     )
-    year = F.year("l_shipdate")
+    # What depends on one table is worked out on that table, before the joins.
+    line = line.withColumn("year", F.year("l_shipdate"))
+    part = part.withColumn("part_code", _part_code())
     listed = F.col("s_suppkey") % 50 != 7
     quotes = (
         line.join(part, line.l_partkey == part.p_partkey)
@@ -63,31 +75,32 @@ def star_quotes(spark: SparkSession, directory: str) -> DataFrame:
         .select(
             "l_orderkey",
             "l_linenumber",
-            _variety(year).alias("codigo_articulo"),
+            _variety().alias("codigo_articulo"),
             F.when(listed, F.col("n_name")).alias("Departamento"),
             F.when(listed, F.col("n_regionkey")).alias("region"),
             F.when(F.col("l_orderkey") % 89 == 0, F.lit(None))
-            .when(F.col("l_orderkey") % 83 == 0, F.lit(0.0))
+            .when(F.col("l_orderkey") % 83 == 0, 0.0)
             .otherwise(F.ceil(F.col("l_quantity") / 10.0).cast("double"))
             .alias("cantidad_actual"),
             F.lit(1.0).alias("cantidad_base"),
             _price().alias("precio_actual"),
             F.when((F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 53 == 0), F.lit(None))
-            .when((F.col("l_linenumber") == 1) & (year <= FIRST_YEAR + 1), F.lit("IPC-2010"))
-            .otherwise(F.lit("IPC-2023"))
+            .when((F.col("l_linenumber") == 1) & (F.col("year") <= FIRST_YEAR + 1), "IPC-2010")
+            .otherwise("IPC-2023")
             .alias("tipo_precio"),
-            F.when(year == FIRST_YEAR, F.lit(12))
-            .otherwise(year - FIRST_YEAR)
-            .cast("int")
-            .alias("mes"),
-            F.when(year == FIRST_YEAR, F.lit(2023)).otherwise(F.lit(2024)).alias("anio"),
+            # One part size is described differently from region to region.
+            F.when(F.col("p_size") == 45, F.concat(F.lit("-R"), F.when(listed, F.col("n_regionkey"))))
+            .otherwise("")
+            .alias("variant"),
+            F.expr(f"CASE WHEN year = {FIRST_YEAR} THEN 12 ELSE year - {FIRST_YEAR} END AS mes"),
+            F.expr(f"CASE WHEN year = {FIRST_YEAR} THEN 2023 ELSE 2024 END AS anio"),
         )
     )
     return quotes.withColumns(
         {
-            "articulo": F.concat(F.lit("VAR-"), F.col("codigo_articulo")),
+            "articulo": F.concat(F.lit("VAR-"), F.col("codigo_articulo"), F.col("variant")),
             "producto_nombre": F.concat(
                 F.lit("PROD-"), product_code(F.col("codigo_articulo"))
             ),
         }
-    )
+    ).drop("variant")
