@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from pricepanel.schema import QUOTE_SCHEMA, Period  # noqa: E402
+from pricepanel.tables import BROADCAST_CONF  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("pricepanel-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Every lookup takes the path for tables too large to broadcast."""
+    spark.conf.set(BROADCAST_CONF, "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset(BROADCAST_CONF)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def quote(
+    code="2000001",
+    department="A",
+    price=100.0,
+    size=1.0,
+    period=Period(2024, 5),
+    region=1,
+    base=1.0,
+    regime="IPC-2023",
+    articulo="",
+    producto="",
+):
+    """One quote with usual values; descriptions follow from the code unless given."""
+    articulo = f"VAR-{code}" if articulo == "" else articulo
+    producto = f"PROD-{code}" if producto == "" else producto
+    return (
+        code, articulo, producto, department, region,
+        size, base, price, regime, period.anio, period.mes,
+    )
+
+
+@pytest.fixture
+def quotes(spark):
+    def make(*rows):
+        return spark.createDataFrame(list(rows), QUOTE_SCHEMA)
+
+    return make
+
+
+def rows(df, *columns):
+    """Rows as sorted tuples, numbers rounded."""
+    taken = df.select(*columns).collect() if columns else df.collect()
+    rounded = (
+        tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in taken
+    )
+    return sorted(rounded, key=repr)
