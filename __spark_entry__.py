@@ -88,6 +88,11 @@ def landed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quotes(spark, _landed[key])
 
 
+def forget_landed_quotes() -> None:
+    """Land the quotes anew at the next use."""
+    _landed.clear()
+
+
 def history(spark: SparkSession, sf_dir: str) -> History:
     return build_history(landed_quotes(spark, sf_dir))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.schema import ARTICLE_COLUMNS, LEVEL_KEYS, PERIOD, panel_columns
-from pricepanel.tables import Table, lookup_join
+from pricepanel.tables import Table, lookup_join, materialize
 
 
 def article_dim(dep_panel: DataFrame, complete_only: bool = True) -> DataFrame:
@@ -32,9 +32,10 @@ def description_conflicts(articles: DataFrame) -> DataFrame:
 def fill_level(panel: DataFrame, level: str, articles: DataFrame | Table) -> DataFrame:
     """A finished panel table: keys, price, month and the descriptions of the code."""
     bare = panel.select(*LEVEL_KEYS[level], "pgeo", *PERIOD)
+    articles = articles if isinstance(articles, Table) else materialize(articles)
     if level == "prod":
-        articles = articles.df if isinstance(articles, Table) else articles
-        described = lookup_join(bare, product_dim(articles), ["cod_prod"])
+        products = articles.derive(product_dim(articles.df))
+        described = lookup_join(bare, products, ["cod_prod"])
     else:
         described = lookup_join(bare, articles, ["codigo_articulo"])
     return described.select(*panel_columns(level))

@@ -50,5 +50,5 @@ def outlier_band_previous(
 
 def _narrow(table: DataFrame | Table, columns: list[str]) -> DataFrame | Table:
     if isinstance(table, Table):
-        return Table(table.df.select(*columns), table.size)
+        return table.derive(table.df.select(*columns))
     return table.select(*columns)

@@ -52,8 +52,7 @@ def popular_presentation(
         counts = presentation_counts(quotes.where(~exempt))
     counts = counts if isinstance(counts, Table) else materialize(counts)
     winners = winning_presentations(counts).withColumn("__usual", F.lit(True))
-    # Winners are some of the counts, so the measured size bounds them too.
-    voted = lookup_join(quotes, Table(winners, counts.size), [*CELL, SIZE])
+    voted = lookup_join(quotes, counts.derive(winners), [*CELL, SIZE])
     return voted.where(exempt | F.col("__usual")).drop("__usual")
 
 

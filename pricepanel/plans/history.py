@@ -78,8 +78,7 @@ class History:
         """
         counts = None
         if period in self.sums:
-            sums = self.sums[period]
-            counts = Table(counts_from_sums(sums.df), sums.size)
+            counts = self.sums[period].derive(counts_from_sums(self.sums[period].df))
         return popular_presentation(self.banded[period], self.by_weight, counts)
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +19,21 @@ HOT_SHARE = 1 / 2000
 
 @dataclass(frozen=True)
 class Table:
-    """A materialised DataFrame and an upper estimate of its size as join rows."""
+    """A materialised DataFrame, or one derived from it that cannot be larger."""
 
     df: DataFrame
-    size: int
+    source: Table | None = None
+
+    @cached_property
+    def size(self) -> int:
+        """Upper estimate in bytes, measured by one pass over the materialised rows."""
+        if self.source is not None:
+            return self.source.size
+        return int(self.df.agg(F.sum(_row_bytes(self.df.schema))).first()[0] or 0)
+
+    def derive(self, df: DataFrame) -> Table:
+        """``df``, some rows and columns of this table, with this table's size as its bound."""
+        return Table(df, self)
 
     def fits_broadcast(self) -> bool:
         return self.size <= broadcast_limit(self.df.sparkSession)
@@ -51,19 +63,14 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
 
 
 def materialize(df: DataFrame) -> Table:
-    """Compute ``df`` once, keep it on reliable storage and measure it on the way.
+    """Compute ``df`` once and keep it on reliable storage.
 
     Without a shared checkpoint folder the rows are persisted instead, which
     keeps their lineage, so a lost executor costs a recomputation and no rows.
     """
-    seen = Observation()
-    observed = df.observe(seen, F.sum(_row_bytes(df.schema)).alias("bytes"))
     if has_checkpoint_dir(df.sparkSession):
-        kept = observed.checkpoint(eager=True)
-    else:
-        kept = observed.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.count()
-    return Table(kept, int(seen.get["bytes"] or 0))
+        return Table(df.checkpoint(eager=True))
+    return Table(df.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def _row_bytes(schema: T.StructType) -> Column:
