@@ -51,9 +51,16 @@ def popular_presentation(
     if counts is None:
         counts = presentation_counts(quotes.where(~exempt))
     counts = counts if isinstance(counts, Table) else materialize(counts)
-    winners = winning_presentations(counts).withColumn("__usual", F.lit(True))
-    voted = lookup_join(quotes, counts.derive(winners), [*CELL, SIZE])
-    return voted.where(exempt | F.col("__usual")).drop("__usual")
+    winners = counts.derive(winning_presentations(counts))
+    if counts.fits_broadcast():
+        marked = counts.derive(winners.df.withColumn("__usual", F.lit(True)))
+        voted = lookup_join(quotes, marked, [*CELL, SIZE])
+        return voted.where(exempt | F.col("__usual")).drop("__usual")
+    # Exempt rows have no part in a join that may shuffle.
+    usual = lookup_join(
+        quotes.where(~exempt), winners, [*CELL, SIZE], "left_semi", frequencies=counts.df
+    )
+    return usual.unionByName(quotes.where(exempt))
 
 
 def vote_size(by_weight: Iterable[str] = BY_WEIGHT_CODES) -> Column:

@@ -100,6 +100,7 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     hot_share: float = HOT_SHARE,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table expected to be much smaller, without trusting that it is.
 
@@ -108,14 +109,16 @@ def lookup_join(
     ``hot_share`` of the rows is hot; there are fewer than ``1 / hot_share`` of
     those, so their part of the table is small and is joined in place. What
     remains has no heavy key left and is joined by an ordinary shuffle.
+    ``frequencies`` may hand over the rows per key, as ``count``, if they are known.
     """
     table = table if isinstance(table, Table) else materialize(table)
     if table.fits_broadcast():
         return null_safe_join(rows, F.broadcast(table.df), keys, how)
 
-    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))).df
-    total = counts.agg(F.sum("__rows")).first()[0] or 0
-    hot = counts.where(F.col("__rows") > total * hot_share).select(*keys)
+    if frequencies is None:
+        frequencies = materialize(rows.groupBy(*keys).count()).df
+    total = frequencies.agg(F.sum("count")).first()[0] or 0
+    hot = frequencies.where(F.col("count") > total * hot_share).select(*keys)
     hot_table = materialize(null_safe_join(table.df, F.broadcast(hot), keys, "left_semi"))
     # A table with very many rows for one hot key is left to the runtime's own skew handling.
     in_place = hot_table.df if hot_table.size > BROADCAST_BYTES else F.broadcast(hot_table.df)
