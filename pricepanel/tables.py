@@ -40,7 +40,7 @@ class Table:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    """Largest table to broadcast, in bytes; set the conf to -1 to broadcast none."""
+    """Largest table to broadcast whole, in bytes; at -1 every table counts as too large."""
     return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_BYTES)))
 
 

@@ -262,6 +262,14 @@ def test_written_panel_feeds_the_next_month(spark, quotes, stored, tmp_path):
         assert tuple(panel[level].columns) == panel_columns(level)
 
 
+def test_panel_as_csv(spark, stored, tmp_path):
+    path = str(tmp_path / "csv")
+    write_panel(stored, path, "csv")
+    panel = read_panel(spark, path, "csv")
+    for level in LEVEL_KEYS:
+        assert rows(panel[level]) == rows(stored[level])
+
+
 def test_audit_is_stored_by_month(spark, built, tmp_path):
     path = str(tmp_path / "audit")
     for period in (MAY, APRIL):

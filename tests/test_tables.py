@@ -85,3 +85,33 @@ def test_wide_text_counts_towards_the_size(spark):
     narrow = spark.createDataFrame([("x",)], "k string")
     wide = spark.createDataFrame([("x" * 10_000,)], "k string")
     assert materialize(wide).size - materialize(narrow).size == 9_999
+
+
+def test_without_a_shared_folder_rows_are_persisted(spark, table, monkeypatch):
+    import pricepanel.tables as tables
+
+    monkeypatch.setattr(tables, "has_checkpoint_dir", lambda session: False)
+    kept = materialize(table)
+    assert kept.df.is_cached and rows(kept.df) == rows(table) and kept.size > 0
+    kept.df.unpersist()
+
+
+def test_checkpoints_go_where_the_session_says(spark):
+    from pricepanel.tables import has_checkpoint_dir
+
+    assert has_checkpoint_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named in spark.sparkContext.getCheckpointDir()
+
+
+def test_a_derived_table_is_bounded_by_its_source(table):
+    kept = materialize(table)
+    assert kept.derive(kept.df.where("v < 0")).size == kept.size
+
+
+def test_known_frequencies_replace_the_count(no_broadcast, big, table):
+    counted = big.groupBy("k").count()
+    split = lookup_join(big, table, ["k"], "left_semi", 0.1, frequencies=counted)
+    keys = {r["k"] for r in table.collect()}
+    wanted = sorted(((r["k"], r["id"]) for r in big.collect() if r["k"] in keys), key=repr)
+    assert rows(split, "k", "id") == wanted
