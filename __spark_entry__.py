@@ -88,19 +88,28 @@ def landed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quotes(spark, _landed[key])
 
 
-def forget_landed_quotes() -> None:
-    """Land the quotes anew at the next use."""
-    _landed.clear()
+_built: dict[tuple[str, str], History] = {}
 
 
 def history(spark: SparkSession, sf_dir: str) -> History:
-    return build_history(landed_quotes(spark, sf_dir))
+    """The back history, its months cleaned once per application and directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        _built[key] = build_history(landed_quotes(spark, sf_dir))
+    return _built[key]
+
+
+def forget(landed: bool = False) -> None:
+    """Clean the months anew at the next use, and land the quotes anew if asked for."""
+    _built.clear()
+    if landed:
+        _landed.clear()
 
 
 def new_month(spark: SparkSession, sf_dir: str, **options: bool) -> RollForward:
     """June, rolled forward from the panel of the months before."""
-    quotes = landed_quotes(spark, sf_dir)
-    return roll_forward(quotes, build_history(quotes).panels(), **options)
+    stored = history(spark, sf_dir).panels()
+    return roll_forward(landed_quotes(spark, sf_dir), stored, **options)
 
 
 def all_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +170,7 @@ def band_following(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_previous(keep_unreferenced: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         quotes = landed_quotes(spark, sf_dir)
-        stored = build_history(quotes).filled("dep")
+        stored = history(spark, sf_dir).filled("dep")
         prior = fill.prior_slice(stored, "dep", ROLL_FORWARD_PERIOD.previous())
         june = qt.valid_quotes(qt.period_quotes(quotes, ROLL_FORWARD_PERIOD))
         kept = outlier_band_previous(june, prior, keep_unreferenced=keep_unreferenced)
