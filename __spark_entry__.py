@@ -41,7 +41,7 @@ from pricepanel.sources.panels import (  # noqa: E402
 )
 from pricepanel.sources.quotes import read_quotes  # noqa: E402
 from pricepanel.sources.star import star_quotes  # noqa: E402
-from pricepanel.tables import has_checkpoint_dir  # noqa: E402
+from pricepanel.tables import shared_dir  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,9 +66,7 @@ def show_panel(df: DataFrame, level: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder next to the checkpoints, which all executors can reach."""
-    if not has_checkpoint_dir(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{spark.sparkContext.getCheckpointDir()}/export-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
 
 
 _landed: dict[tuple[str, str], str] = {}

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 BROADCAST_CONF = "pricepanel.broadcast.maxBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1 / 2000
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -44,33 +43,24 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_BYTES)))
 
 
-def has_checkpoint_dir(spark: SparkSession) -> bool:
-    """Make sure checkpoints have a place that outlives an executor.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for checkpoints and scratch tables, which driver and executors share.
 
-    The session names it in ``spark.checkpoint.dir``. Only a local session
-    without one gets a temporary folder.
+    The session names it in ``spark.checkpoint.dir``. Where it does not, a folder
+    under the warehouse directory is taken, whatever the master.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return True
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and sc.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="pricepanel-")
-    if named is None:
-        return False
-    sc.setCheckpointDir(named)
-    return True
+    if not sc.getCheckpointDir():
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or f"{warehouse.rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> Table:
-    """Compute ``df`` once and keep it on reliable storage.
-
-    Without a shared checkpoint folder the rows are persisted instead, which
-    keeps their lineage, so a lost executor costs a recomputation and no rows.
-    """
-    if has_checkpoint_dir(df.sparkSession):
-        return Table(df.checkpoint(eager=True))
-    return Table(df.persist(StorageLevel.MEMORY_AND_DISK))
+    """Compute ``df`` once and keep it on storage that outlives an executor."""
+    shared_dir(df.sparkSession)
+    return Table(df.checkpoint(eager=True))
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -105,11 +95,11 @@ def lookup_join(
     """Join many rows to a table expected to be much smaller, without trusting that it is.
 
     A table measured below the broadcast limit is broadcast, so the rows never
-    move. Beyond it the rows are split by key frequency. A key with more than
-    ``hot_share`` of the rows is hot; there are fewer than ``1 / hot_share`` of
-    those, so their part of the table is small and is joined in place. What
-    remains has no heavy key left and is joined by an ordinary shuffle.
+    move. Beyond it both sides are shuffled, once. A key with more than ``hot_share``
+    of the rows is hot; there are fewer than ``1 / hot_share`` of those. Its rows
+    are dealt over ``SALTS`` tasks, and its part of the table is repeated for each.
     ``frequencies`` may hand over the rows per key, as ``count``, if they are known.
+    ``how`` keeps rows of the left side only: left, inner, left_semi or left_anti.
     """
     table = table if isinstance(table, Table) else materialize(table)
     if table.fits_broadcast():
@@ -118,14 +108,22 @@ def lookup_join(
     if frequencies is None:
         frequencies = materialize(rows.groupBy(*keys).count()).df
     total = frequencies.agg(F.sum("count")).first()[0] or 0
-    hot = frequencies.where(F.col("count") > total * hot_share).select(*keys)
-    hot_table = materialize(null_safe_join(table.df, F.broadcast(hot), keys, "left_semi"))
-    # A table with very many rows for one hot key is left to the runtime's own skew handling.
-    in_place = hot_table.df if hot_table.size > BROADCAST_BYTES else F.broadcast(hot_table.df)
-
-    hot_rows = null_safe_join(rows, F.broadcast(hot), keys, "left_semi")
-    cold_rows = null_safe_join(rows, F.broadcast(hot), keys, "left_anti")
-    cold_table = null_safe_join(table.df, F.broadcast(hot), keys, "left_anti")
-    return null_safe_join(hot_rows, in_place, keys, how).unionByName(
-        null_safe_join(cold_rows, cold_table, keys, how)
+    hot = materialize(
+        frequencies.where(F.col("count") > total * hot_share)
+        .select(*keys)
+        .withColumn("__hot", F.lit(True))
+    ).df
+    salted = _mark(rows, hot, keys).withColumn(
+        "__salt",
+        F.when(F.col("__hot"), F.monotonically_increasing_id() % SALTS).otherwise(0).cast("int"),
+    )
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.lit(0))
     )
+    repeated = _mark(table.df, hot, keys).withColumn("__salt", F.explode(every)).drop("__hot")
+    joined = null_safe_join(salted, repeated, [*keys, "__salt"], how)
+    return joined.drop("__hot", "__salt")
+
+
+def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return null_safe_join(df, F.broadcast(hot), keys, "left")

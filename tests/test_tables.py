@@ -53,12 +53,16 @@ def test_lookup_is_the_same_broadcast_or_split(spark, big, table, how):
         spark.conf.unset(BROADCAST_CONF)
 
 
-def test_only_the_hot_key_is_joined_in_place(no_broadcast, big, table):
-    plan = lookup_join(big, table, ["k"], hot_share=0.1)._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan ==") :]
-    assert "Union" in physical and "SortMergeJoin" in physical
-    assert physical.count("BroadcastExchange") >= 2
-    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
+def test_an_oversize_table_costs_one_scan_and_spreads_the_hot_key(no_broadcast, big, table, tmp_path):
+    big.write.parquet(str(tmp_path / "big"))
+    stored = big.sparkSession.read.parquet(str(tmp_path / "big"))
+    joined = lookup_join(stored, table, ["k"], hot_share=0.1)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "SortMergeJoin" in plan and "Union" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan.count("__salt") >= 4
+    assert joined.where("k = 'hot'").count() == stored.where("k = 'hot'").count()
 
 
 def test_duplicate_table_rows_fan_out(spark):
@@ -87,21 +91,29 @@ def test_wide_text_counts_towards_the_size(spark):
     assert materialize(wide).size - materialize(narrow).size == 9_999
 
 
-def test_without_a_shared_folder_rows_are_persisted(spark, table, monkeypatch):
-    import pricepanel.tables as tables
+def test_checkpoints_go_where_the_session_says(spark):
+    from pricepanel.tables import shared_dir
 
-    monkeypatch.setattr(tables, "has_checkpoint_dir", lambda session: False)
-    kept = materialize(table)
-    assert kept.df.is_cached and rows(kept.df) == rows(table) and kept.size > 0
-    kept.df.unpersist()
+    assert spark.conf.get("spark.checkpoint.dir") in shared_dir(spark)
 
 
-def test_checkpoints_go_where_the_session_says(spark):
-    from pricepanel.tables import has_checkpoint_dir
+def test_without_a_named_folder_the_warehouse_holds_the_checkpoints(tmp_path):
+    from types import SimpleNamespace
 
-    assert has_checkpoint_dir(spark)
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert named in spark.sparkContext.getCheckpointDir()
+    from pricepanel.tables import shared_dir
+
+    conf = {"spark.sql.warehouse.dir": f"file:{tmp_path}/house"}
+    named = []
+    context = SimpleNamespace(
+        getCheckpointDir=lambda: named[-1] if named else None, setCheckpointDir=named.append
+    )
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda k, default=None: conf.get(k, default))
+    )
+    assert shared_dir(session) == f"file:{tmp_path}/house/_checkpoints"
+    conf["spark.checkpoint.dir"] = "store://shared"
+    named.clear()
+    assert shared_dir(session) == "store://shared"
 
 
 def test_a_derived_table_is_bounded_by_its_source(table):
