@@ -6,7 +6,9 @@ import sys
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from importlib import import_module
 from pathlib import Path
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,6 +300,19 @@ def written_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(spark.read.parquet(path), *LINE, "precio_base", "pgeo_ant")
 
 
+# Text operators, which may be absent
+
+
+def optional(name: str) -> ModuleType | None:
+    """A module of the text operators, or None where their folders have been removed."""
+    try:
+        return import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("pricepanel.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The department panel of the back-history build, descriptions attached."""
     return queries()["fill_dep"](spark, "/root/testdata/sf0.001")
@@ -346,10 +361,19 @@ def queries() -> dict[str, Query]:
             registered[f"roll_forward_fill_{level}_as_written"] = rolled_fill(
                 level, as_written=True
             )
+    if text := optional("pricepanel.llm.queries"):
+        registered |= text.queries()
+    if corpus := optional("corpus_pipeline"):
+        registered["pipeline"] = corpus.run
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
     import oracle
 
-    return oracle.build()
+    written = oracle.build()
+    if text := optional("pricepanel.llm.queries"):
+        written |= text.oracle_sql()
+    if (corpus := optional("corpus_pipeline")) and corpus.ORACLE_SQL:
+        written["pipeline"] = corpus.ORACLE_SQL
+    return written

@@ -36,7 +36,8 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    own = {name for name in registered.queries() if not name.startswith(("op", "pipeline"))}
+    assert own == {q for q in registered.oracle_sql() if not q.startswith(("op", "pipeline"))}
 
 
 @pytest.mark.parametrize("name", CHECKED)
