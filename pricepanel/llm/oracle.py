@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 _GAP = r"[ \t\n\x0B\f\r]+"
-_WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), x -> x <> '')"
+_WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), lambda x: x <> '')"
 
 # Measures of every row of ``documents_in``, a row number added, as ``measured``.
 _MEASURED = rf"""
 rows_in AS (SELECT *, row_number() OVER () AS rid, {_WORDS} AS w,
                    list_filter(string_split(coalesce(text, ''), chr(10)),
-                               x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
+                               lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
             FROM documents_in),
 windows AS (SELECT rid, i, concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS g
             FROM (SELECT rid, w, unnest(generate_series(1, len(w) - 2)) AS i FROM rows_in)),
@@ -18,7 +18,7 @@ repeated AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid,
 covered AS (SELECT rid, count(DISTINCT p) AS c
             FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY rid),
 plain AS (SELECT rows_in.* EXCLUDE (w, l), CAST(len(w) AS BIGINT) AS n_words,
-                 CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+                 CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
                  CAST(length(coalesce(text, ''))
                       - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT)
                    AS n_symbols,
@@ -59,7 +59,7 @@ fills AS (SELECT source_size, weight,
           FROM weighted, whole_mix
           WINDOW earlier AS (ORDER BY 2 * source_size / weight, source NULLS LAST
                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-water AS (SELECT min(level) AS level FROM fills WHERE level * weight <= 2 * source_size),
+water AS (SELECT max(level) AS level FROM fills WHERE level * weight <= 2 * source_size),
 targets AS (SELECT source, source_size,
                    CAST(CASE WHEN level * weight <= 2 * source_size THEN level * weight
                              ELSE 2 * source_size END AS DOUBLE) AS target FROM weighted, water),
@@ -79,5 +79,90 @@ SELECT doc_id, mix_size AS size, source_size, target, CAST(repetitions * mix_siz
 FROM mixed"""
 
 
+
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+_LOWERED = _lower("coalesce(text, '')")
+_LOWER_WORDS = f"list_filter(string_split_regex({_LOWERED}, '{_GAP}'), lambda x: x <> '')"
+
+# Class of every row of ``documents_in``, as ``classed``: doc_id, n_shingles, component_id.
+_CLASSED = f"""
+RECURSIVE worded AS (SELECT row_number() OVER () AS rid, doc_id AS did, {_LOWER_WORDS} AS w
+                     FROM documents_in),
+shingled AS (SELECT DISTINCT rid, did, g FROM (
+               SELECT rid, did, concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS g
+               FROM (SELECT rid, did, w, unnest(generate_series(1, len(w) - 4)) AS i FROM worded)
+               UNION ALL
+               SELECT rid, did, array_to_string(w, ' ') FROM worded WHERE len(w) BETWEEN 1 AND 4)),
+sizes AS (SELECT rid, count(*) AS n FROM shingled GROUP BY rid),
+common AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM shingled a JOIN shingled b USING (g)
+           WHERE a.rid <> b.rid GROUP BY ALL),
+linked AS (SELECT a, b FROM common JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b
+           WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached AS (SELECT rid AS a, rid AS b FROM worded
+            UNION SELECT reached.a, linked.b FROM reached JOIN linked ON linked.a = reached.b),
+classed AS (SELECT worded.rid, any_value(worded.did) AS doc_id, min(other.did) AS component_id,
+                   CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles
+            FROM worded JOIN reached ON reached.a = worded.rid
+            JOIN worded other ON other.rid = reached.b LEFT JOIN sizes ON sizes.rid = worded.rid
+            GROUP BY worded.rid)"""
+
+JACCARD_JOIN = f"""
+WITH {_CLASSED.replace("RECURSIVE", "RECURSIVE documents_in AS (SELECT * FROM documents),")}
+SELECT doc_id, n_shingles, component_id FROM classed"""
+
+WARC = """
+WITH paid AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+told AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+                sha256(payload) AS payload_digest FROM paid),
+first AS (SELECT payload_digest, min(page_id) AS first_id FROM told
+          WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM told LEFT JOIN first USING (payload_digest)"""
+
+_ITEM_WORDS = (
+    f"list_filter(string_split_regex({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+)
+
+# Hits of every row of ``documents_in``, as ``hit_rows``.
+_HIT = f"""
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
+patterns AS (SELECT DISTINCT item, 13 AS len, array_to_string(w[i:i + 12], ' ') AS p
+             FROM (SELECT item, w, unnest(generate_series(1, len(w) - 12)) AS i FROM items)
+             UNION
+             SELECT item, len(w), array_to_string(w, ' ') FROM items WHERE len(w) BETWEEN 1 AND 12),
+texts AS (SELECT row_number() OVER () AS hid, *, {_ITEM_WORDS} AS hw FROM documents_in),
+lengths AS (SELECT DISTINCT len FROM patterns),
+slices AS (SELECT hid, i, len, array_to_string(hw[i:i + len - 1], ' ') AS p
+           FROM (SELECT hid, hw, len, unnest(generate_series(1, len(hw) - len + 1)) AS i
+                 FROM texts, lengths)),
+found AS (SELECT hid, i, len, item FROM slices JOIN patterns USING (len, p)),
+words_hit AS (SELECT hid, count(DISTINCT place) AS n FROM (
+                SELECT hid, unnest(generate_series(i, i + len - 1)) AS place FROM found) GROUP BY hid),
+items_hit AS (SELECT hid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+              FROM (SELECT DISTINCT hid, item FROM found) GROUP BY hid),
+hit_rows AS (SELECT texts.*, CAST(len(hw) AS BIGINT) AS n_words,
+                    CAST(coalesce(words_hit.n, 0) AS BIGINT) AS n_hit,
+                    CAST(coalesce(items_hit.n, 0) AS BIGINT) AS n_items,
+                    sha256(coalesce(names, '')) AS items_sha256,
+                    coalesce(words_hit.n, 0) > 0 AND 20 * words_hit.n >= len(hw) AS contaminated
+             FROM texts LEFT JOIN words_hit USING (hid) LEFT JOIN items_hit USING (hid))"""
+
+DECONTAMINATION = f"""
+WITH documents_in AS (SELECT * FROM documents), {_HIT}
+SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM hit_rows"""
+
+
 def build() -> dict[str, str]:
-    return {"op8_mixing": MIXING, "op10_quality_rules": QUALITY_RULES}
+    return {
+        "op2_jaccard_join": JACCARD_JOIN,
+        "op4_warc": WARC,
+        "op6_decontamination": DECONTAMINATION,
+        "op8_mixing": MIXING,
+        "op10_quality_rules": QUALITY_RULES,
+    }

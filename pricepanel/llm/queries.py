@@ -5,13 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricepanel.llm import mixing, oracle, quality_rules, sharding
+from pricepanel.llm import (
+    decontamination,
+    jaccard_join,
+    mixing,
+    oracle,
+    quality_rules,
+    sharding,
+    warc,
+)
 from pricepanel.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontamination.mark_hits(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+        read_table(spark, sf_dir, "benchmark"),
+    )
+    hits = F.col("hits")
+    return marked.select(
+        "doc_id",
+        hits["n_words"].alias("n_words"),
+        hits["n_hit"].alias("n_hit"),
+        F.size(hits["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(hits["items"], ",").cast("binary"), 256).alias("items_sha256"),
+        decontamination.contaminated(hits).alias("contaminated"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("repetitions")
 
@@ -26,8 +61,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).drop("host_rejected")
 
 
+_QUERIES = (
+    op2_jaccard_join, op4_warc, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op8_mixing, op9_sharding, op10_quality_rules)}
+    return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
