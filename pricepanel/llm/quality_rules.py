@@ -157,36 +157,22 @@ def host_verdicts(judged: DataFrame, host: str, limits: Limits = Limits()) -> Da
             F.count(F.lit(1)).alias("n_docs"), F.count_if("__failed").alias("n_failed")
         )
     ).df
-    mean = F.try_divide(F.sum("n_failed"), F.sum("n_docs"))
-    totals = counts.agg(
-        mean.alias("__mean"), F.sum("n_docs").alias("__docs"), F.count(F.lit(1)).alias("__hosts")
+    # Sums over the hosts; one row each.
+    docs, failed, hosts = counts.agg(
+        F.sum("n_docs"), F.sum("n_failed"), F.count(F.lit(1))
+    ).first()
+    if not docs:
+        return counts.withColumns({"rate": F.lit(0.0), "rejected": F.lit(False)})
+    mean = failed / docs
+    own_rate = F.col("n_failed") / F.col("n_docs")
+    off = counts.agg(F.sum(F.col("n_docs") * F.pow(own_rate - mean, 2))).first()[0]
+    by_chance = mean * (1 - mean)
+    between = off / docs - by_chance * hosts / docs
+    strength = max(by_chance / max(between, 1e-9) - 1, 1.0)
+    rate = (F.col("n_failed") + mean * strength) / (F.col("n_docs") + strength)
+    return counts.withColumn("rate", rate).withColumn(
+        "rejected", F.col("rate") > limits.max_host_rate
     )
-    rated = counts.crossJoin(F.broadcast(totals)).withColumn(
-        "__off", F.col("n_docs") * F.pow(F.col("n_failed") / F.col("n_docs") - F.col("__mean"), 2)
-    )
-    spread = rated.agg(
-        F.first("__mean").alias("__mean"),
-        F.first("__docs").alias("__docs"),
-        F.first("__hosts").alias("__hosts"),
-        F.sum("__off").alias("__off"),
-    )
-    by_chance = F.col("__mean") * (1 - F.col("__mean"))
-    between = F.try_divide(F.col("__off"), F.col("__docs")) - by_chance * F.try_divide(
-        F.col("__hosts"), F.col("__docs")
-    )
-    strength = F.greatest(
-        by_chance / F.greatest(between, F.lit(1e-9)) - 1, F.lit(1.0)
-    )
-    prior = spread.select(
-        F.col("__mean").alias("__prior_mean"), strength.alias("__prior_strength")
-    )
-    rate = (F.col("n_failed") + F.col("__prior_mean") * F.col("__prior_strength")) / (
-        F.col("n_docs") + F.col("__prior_strength")
-    )
-    return counts.crossJoin(F.broadcast(prior)).select(
-        host, "n_docs", "n_failed", rate.alias("rate"),
-        (rate > limits.max_host_rate).alias("rejected"),
-    )
 
 
 def judge(

@@ -79,9 +79,9 @@ def size_cell(size: Column, bits: int = BITS) -> Column:
 def value_cells(rows: DataFrame, column: str, bits: int = BITS) -> DataFrame:
     """A cell per value of a column, in the order of the values, each with its share of rows."""
     counts = materialize(rows.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))).df
-    total = counts.agg(F.sum("__n").alias("__total"))
-    placed = running_total(counts, [column], "__before", "__n").crossJoin(F.broadcast(total))
-    cell = F.floor(F.col("__before") * (1 << bits) / F.col("__total")).cast("int")
+    total = counts.agg(F.sum("__n")).first()[0] or 1
+    placed = running_total(counts, [column], "__before", "__n")
+    cell = F.expr(f"CAST(__before * {1 << bits} DIV {total} AS INT)")
     return placed.select(column, cell.alias(f"__cell_{column}"))
 
 
@@ -123,16 +123,15 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, bits: int = BITS)
     rows = on_curve(written(metadata(documents), "shards"), bits)
     order = ("curve", "text_crc32", "doc_id", "size")
     placed = running_total(rows, order, "__position")
-    total = materialize(rows.agg(F.count(F.lit(1)).alias("__total"))).df
-    shard = F.expr(f"CAST(__position * {shards} DIV __total AS INT)")
-    start = F.expr(f"(shard * __total + {shards - 1}) DIV {shards}")
+    total = max(rows.count(), 1)
+    shard = F.expr(f"CAST(__position * {shards} DIV {total} AS INT)")
+    start = F.expr(f"(shard * {total}L + {shards - 1}) DIV {shards}")
     return (
-        placed.crossJoin(F.broadcast(total))
-        .withColumn("shard", shard)
+        placed.withColumn("shard", shard)
         .withColumn("slot", (F.col("__position") - start).cast("long"))
         .withColumn("law", F.lit("rows"))
         .withColumn("grown_shard", F.lit(None).cast("int"))
-        .drop("__position", "__total")
+        .drop("__position")
     )
 
 
