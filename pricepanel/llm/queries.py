@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricepanel.llm import (
     decontamination,
+    importance,
     jaccard_join,
     mixing,
     oracle,
@@ -21,6 +22,12 @@ from pricepanel.llm.common import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -62,7 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    op2_jaccard_join, op4_warc, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
+    op1_importance_resampling, op2_jaccard_join, op4_warc, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
 )
 
 
