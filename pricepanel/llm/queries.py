@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.llm import (
+    content_extraction,
     decontamination,
     importance,
     jaccard_join,
@@ -38,6 +39,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_content_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_extraction.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontamination.mark_hits(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -69,7 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    op1_importance_resampling, op2_jaccard_join, op4_warc, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
+    op1_importance_resampling, op2_jaccard_join, op4_warc, op5_content_extraction, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
 )
 
 
