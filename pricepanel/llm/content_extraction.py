@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from itertools import cycle, product
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm.dom import BLOCKS, HIDDEN, Node, parse
@@ -375,13 +375,12 @@ def extract(
     model: Model | None = None,
 ) -> DataFrame:
     """page_id, url, the main text and its length of every page."""
-    spark: SparkSession = pages.sparkSession
-    shared = spark.sparkContext.broadcast(model or fit())
+    fitted = model or fit()
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([main_text(page, shared.value) for page in batch], dtype=object)
+            yield pd.Series([main_text(page, fitted) for page in batch], dtype=object)
 
     return pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), text_of(F.col(html)).alias("text")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pricepanel.llm.sharding import BITS, hilbert_table
+
 _GAP = r"[ \t\n\x0B\f\r]+"
 _WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), lambda x: x <> '')"
 
@@ -89,7 +91,7 @@ _LOWER_WORDS = f"list_filter(string_split_regex({_LOWERED}, '{_GAP}'), lambda x:
 
 # Class of every row of ``documents_in``, as ``classed``: doc_id, n_shingles, component_id.
 _CLASSED = f"""
-RECURSIVE worded AS (SELECT row_number() OVER () AS rid, doc_id AS did, {_LOWER_WORDS} AS w
+worded AS (SELECT row_number() OVER () AS rid, doc_id AS did, {_LOWER_WORDS} AS w
                      FROM documents_in),
 shingled AS (SELECT DISTINCT rid, did, g FROM (
                SELECT rid, did, concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS g
@@ -110,7 +112,7 @@ classed AS (SELECT worded.rid, any_value(worded.did) AS doc_id, min(other.did) A
             GROUP BY worded.rid)"""
 
 JACCARD_JOIN = f"""
-WITH {_CLASSED.replace("RECURSIVE", "RECURSIVE documents_in AS (SELECT * FROM documents),")}
+WITH RECURSIVE documents_in AS (SELECT * FROM documents), {_CLASSED}
 SELECT doc_id, n_shingles, component_id FROM classed"""
 
 WARC = """
@@ -158,11 +160,77 @@ WITH documents_in AS (SELECT * FROM documents), {_HIT}
 SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM hit_rows"""
 
 
+
+def _crc_steps() -> list[int]:
+    """What four bits add to the reflected checksum."""
+    steps = list(range(16))
+    for _ in range(4):
+        steps = [s >> 1 ^ (0xEDB88320 if s & 1 else 0) for s in steps]
+    return steps
+
+
+# The checksum takes the low half of a byte first.
+_HALVES = (
+    "list_transform(string_split(regexp_replace(hex(encode(coalesce(text, ''))), "
+    "'(.)(.)', '\\2\\1', 'g'), ''), lambda c: instr('0123456789ABCDEF', c) - 1)"
+)
+_CRC = (
+    f"CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(4294967295, list_reduce({_HALVES}, "
+    f"lambda c, h: xor(c >> 4, {_crc_steps()}[1 + (xor(c, h) & 15)]), 4294967295::BIGINT)) END"
+)
+
+# Place of every row of ``documents_in``, as ``sharded``.
+_SHARDED = f"""
+shard_rows AS (SELECT *, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS shard_size FROM documents_in),
+n_rows AS (SELECT count(*) AS total FROM shard_rows),
+source_cells AS (SELECT source, (sum(n) OVER (ORDER BY source NULLS FIRST) - n) * 16 // total AS source_cell
+                 FROM (SELECT source, count(*) AS n FROM shard_rows GROUP BY source), n_rows),
+lang_cells AS (SELECT lang, (sum(n) OVER (ORDER BY lang NULLS FIRST) - n) * 16 // total AS lang_cell
+               FROM (SELECT lang, count(*) AS n FROM shard_rows GROUP BY lang), n_rows),
+curved AS (SELECT shard_rows.*, {hilbert_table(3, BITS)}[CAST(1 + (source_cell * 16 + lang_cell) * 16
+                    + least(15, greatest(0, length(bin(shard_size)) - 5)) AS BIGINT)] AS curve
+           FROM shard_rows
+           JOIN source_cells ON shard_rows.source IS NOT DISTINCT FROM source_cells.source
+           JOIN lang_cells ON shard_rows.lang IS NOT DISTINCT FROM lang_cells.lang),
+numbered AS (SELECT *, row_number() OVER (ORDER BY curve, doc_id NULLS FIRST, shard_size) - 1 AS place
+             FROM curved),
+sharded AS (SELECT *, CAST(place * 16 // total AS INTEGER) AS shard,
+                   CAST(place - (place * 16 // total * total + 15) // 16 AS BIGINT) AS slot
+            FROM numbered, n_rows)"""
+
+SHARDING = f"""
+WITH documents_in AS (SELECT * FROM documents), {_SHARDED}
+SELECT doc_id, shard_size AS size, CAST({_CRC} AS BIGINT) AS text_crc32, 'rows' AS law, shard, slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM sharded"""
+
+_COLUMNS = "doc_id, text, lang, source, n_chars"
+
+
+def _stage(sql: str, source: str) -> str:
+    return sql.replace("documents_in", source)
+
+
+PIPELINE = f"""
+WITH RECURSIVE {_stage(_MEASURED, "documents")},
+good AS (SELECT {_COLUMNS} FROM judged WHERE kept),
+{_stage(_CLASSED, "good")},
+single AS (SELECT good.* FROM good JOIN classed USING (doc_id) WHERE doc_id = component_id),
+{_stage(_HIT, "single")},
+clean AS (SELECT {_COLUMNS} FROM hit_rows WHERE NOT contaminated),
+{_stage(_MIXED, "clean")},
+repeated_rows AS (SELECT {_COLUMNS} FROM (
+                    SELECT {_COLUMNS}, unnest(generate_series(1, repetitions)) FROM mixed)),
+{_stage(_SHARDED, "repeated_rows")}
+SELECT doc_id, shard_size AS size, lang, source, shard, slot FROM sharded"""
+
+
 def build() -> dict[str, str]:
     return {
         "op2_jaccard_join": JACCARD_JOIN,
         "op4_warc": WARC,
         "op6_decontamination": DECONTAMINATION,
         "op8_mixing": MIXING,
+        "op9_sharding": SHARDING,
         "op10_quality_rules": QUALITY_RULES,
     }

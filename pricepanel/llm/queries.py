@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pricepanel.llm import (
     mixing,
     oracle,
     quality_rules,
+    secrets,
     sharding,
+    tool_calls,
     warc,
 )
 from pricepanel.llm.common import read_table
@@ -33,6 +36,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -59,6 +66,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tool_calls.events_of_turns(read_table(spark, sf_dir, "conversations"))
+    tools = [("answer", json.dumps(tool_calls.ANSWER_SCHEMA))]
+    return tool_calls.format_chats(*events, spark.createDataFrame(tools, tool_calls.SCHEMAS))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("repetitions")
 
@@ -74,7 +87,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
-    op1_importance_resampling, op2_jaccard_join, op4_warc, op5_content_extraction, op6_decontamination, op8_mixing, op9_sharding, op10_quality_rules,
+    op1_importance_resampling, op2_jaccard_join, op3_secret_scan, op4_warc, op5_content_extraction,
+    op6_decontamination, op7_tool_calls, op8_mixing, op9_sharding, op10_quality_rules,
 )
 
 

@@ -91,7 +91,9 @@ def metadata(
     text: str = "text",
     source: str = "source",
     lang: str = "lang",
+    also: Sequence[str] = (),
 ) -> DataFrame:
+    """What a shard is chosen by: id, size and checksum of the text, source and language."""
     filled = F.coalesce(F.col(text), F.lit(""))
     return documents.select(
         F.col(doc_id).alias("doc_id"),
@@ -99,13 +101,14 @@ def metadata(
         F.crc32(filled.cast("binary")).alias("text_crc32"),
         F.col(source).alias("source"),
         F.col(lang).alias("lang"),
+        *also,
     )
 
 
 def on_curve(rows: DataFrame, bits: int = BITS) -> DataFrame:
     """Add ``curve``, the place of each row's cell; ``rows`` as ``metadata`` gives them."""
     for column in ("source", "lang"):
-        cells = materialize(value_cells(rows, column, bits))
+        cells = materialize(value_cells(rows.select(column), column, bits))
         rows = lookup_join(rows, cells, [column])
     places = F.array(*map(F.lit, hilbert_table(3, bits)))
     cell = (F.col("__cell_source") * (1 << bits) + F.col("__cell_lang")) * (1 << bits)
@@ -121,7 +124,7 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, bits: int = BITS)
     (law ``rows``).
     """
     rows = on_curve(written(metadata(documents), "shards"), bits)
-    order = ("curve", "text_crc32", "doc_id", "size")
+    order = ("curve", "doc_id", "size")
     placed = running_total(rows, order, "__position")
     total = max(rows.count(), 1)
     shard = F.expr(f"CAST(__position * {shards} DIV {total} AS INT)")
@@ -141,22 +144,9 @@ def write_shards(documents: DataFrame, path: str, shards: int = SHARDS, bits: in
     The cuts are those of range partitioning, whose runs are close to equal but not
     exactly so; files are kept whole so that their column ranges stay narrow.
     """
-    filled = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select(
-        *documents.columns,
-        F.struct(
-            (F.octet_length(filled) + 1).cast("long").alias("size"),
-            F.crc32(filled.cast("binary")).alias("crc"),
-        ).alias("__m"),
-    )
-    for column in ("source", "lang"):
-        rows = lookup_join(rows, materialize(value_cells(documents, column, bits)), [column])
-    places = F.array(*map(F.lit, hilbert_table(3, bits)))
-    cell = (F.col("__cell_source") * (1 << bits) + F.col("__cell_lang")) * (1 << bits)
-    order = (
-        F.get(places, cell + size_cell(F.col("__m.size"), bits)), F.col("__m.crc"), F.col("doc_id"),
-    )
-    cut = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    cut.withColumn("shard", F.spark_partition_id()).drop(
-        "__m", "__cell_source", "__cell_lang"
-    ).write.partitionBy("shard").parquet(path)
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    rows = metadata(documents.withColumn("__row", F.struct(*columns)), also=["__row"])
+    order = ("curve", "doc_id", "size")
+    cut = on_curve(rows, bits).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    shard = F.spark_partition_id().alias("__shard")
+    cut.select("__row", shard).select("__row.*", "__shard").write.partitionBy("__shard").parquet(path)
