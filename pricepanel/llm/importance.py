@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm.common import running_total, written
-from pricepanel.llm.hashing import joined, scramble, word_hashes
+from pricepanel.llm.hashing import WordHashes, chunks, joined, scramble
 
 BUCKETS = 10_000
 MAX_TARGET = 20_000
@@ -37,10 +37,10 @@ SEED = 17
 
 
 def ngram_buckets(
-    texts: list[bytes | None], buckets: int = BUCKETS
+    texts: list[bytes | None], memory: WordHashes, buckets: int = BUCKETS
 ) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Buckets of all words and pairs, the text each belongs to, and words per text."""
-    hashes, counts = word_hashes(texts)
+    hashes, counts = memory.of_texts(texts)
     owner = np.repeat(np.arange(len(texts)), counts)
     inside = owner[1:] == owner[:-1]
     pairs = joined(hashes[:-1], hashes[1:])[inside]
@@ -69,11 +69,13 @@ def bucket_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        memory = WordHashes()
         for batch in batches:
-            found, owner, _ = ngram_buckets(batch.column("text").to_pylist(), buckets)
-            chosen = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            raw += np.bincount(found, minlength=buckets)
-            target += np.bincount(found[chosen[owner]], minlength=buckets)
+            flags = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+            for start, texts_ in chunks(batch.column("text")):
+                found, owner, _ = ngram_buckets(texts_, memory, buckets)
+                raw += np.bincount(found, minlength=buckets)
+                target += np.bincount(found[flags[start:][owner]], minlength=buckets)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(buckets)), pa.array(raw), pa.array(target)],
             ["bucket", "raw", "target"],
@@ -99,10 +101,15 @@ def log_weights(texts: DataFrame, ratios: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(ratios)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, memory = shared.value, WordHashes()
         for batch in batches:
-            found, owner, counts = ngram_buckets(batch.column("text").to_pylist(), len(table))
-            sums = np.bincount(owner, weights=table[found], minlength=batch.num_rows)
+            sums, counts = np.zeros(batch.num_rows), []
+            for start, texts_ in chunks(batch.column("text")):
+                found, owner, n = ngram_buckets(texts_, memory, len(table))
+                sums[start : start + len(n)] = np.bincount(
+                    owner, weights=table[found], minlength=len(n)
+                )
+                counts += n
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums)],
                 ["doc_id", "n_words", "log_weight"],

@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from pricepanel.llm import decontamination as dc
+from pricepanel.llm import oracle
+
+from .conftest import by_name
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(text, items):
+    own, hit, found = words(text), set(), set()
+    for item, item_text in items:
+        w = words(item_text)
+        n = min(13, len(w))
+        windows = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+        for i in range(len(own) - n + 1):
+            if tuple(own[i : i + n]) in windows:
+                hit |= set(range(i, i + n))
+                found.add(str(item))
+    return len(own), len(hit), sorted(found)
+
+
+def cases():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)] + ["Ünï", "it's", "x-y", "ABC"]
+    items = [
+        (k, " ".join(rng.choice(vocabulary) for _ in range(n)))
+        for k, n in enumerate([1, 5, 13, 14, 40, 40])
+    ]
+    items += [(6, None), (7, "!!! ???"), (5, "some other text"), (8, items[4][1])]
+    texts = [None, "", "...", items[0][1], items[3][1].upper(), "Q: " + items[4][1] + " end?"]
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            w = items[rng.randrange(6)][1].split()
+            i = rng.randrange(len(w))
+            parts += [rng.choice(vocabulary) for _ in range(rng.randrange(30))] + w[i : i + 20]
+        texts.append(rng.choice([" ", "\n", " - "]).join(parts))
+    texts.append(" ".join(rng.choice(vocabulary) for _ in range(20_000)))
+    return list(enumerate(texts)), items
+
+
+def tables(spark, documents):
+    texts, items = cases()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    return documents(*texts, extra=("hits", "item")), benchmark, texts, items
+
+
+def test_hits_match_brute_force_and_sql(spark, documents, as_sql):
+    df, benchmark, texts, items = tables(spark, documents)
+    marked = dc.mark_hits(df.drop("hits"), benchmark).cache()
+    got = {r["doc_id"]: (r["hits"]["n_words"], r["hits"]["n_hit"], r["hits"]["items"])
+           for r in marked.collect()}
+    assert got == {k: brute(t, items) for k, t in texts}
+    h = F.col("hits")
+    shown = marked.select(
+        "doc_id", h["n_words"].alias("n_words"), h["n_hit"].alias("n_hit"),
+        F.size(h["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(h["items"], ",").cast("binary"), 256).alias("items_sha256"),
+        dc.contaminated(h).alias("contaminated"),
+    )
+    assert by_name(shown) == as_sql(oracle.DECONTAMINATION, documents=df, benchmark=benchmark)
+
+
+def test_spans_are_places_in_the_original_text(spark, documents):
+    df, benchmark, _, items = tables(spark, documents)
+    seen = 0
+    for r in dc.mark_hits(df.drop("hits"), benchmark).collect():
+        spans = r["hits"]["spans"]
+        assert all(a["end"] < b["start"] for a, b in zip(spans, spans[1:], strict=False))
+        inside = [w for s in spans for w in words(r["text"][s["start"] : s["end"]])]
+        assert len(inside) == r["hits"]["n_hit"]
+        seen += len(spans)
+    assert seen > 20
+
+
+def test_blocks_of_items_give_the_same(spark, documents):
+    df, benchmark, _, _ = tables(spark, documents)
+    whole = dc.mark_hits(df, benchmark, result="found").select("doc_id", "found")
+    parts = dc.mark_hits(df, benchmark, result="found", block_words=15).select("doc_id", "found")
+    assert by_name(whole) == by_name(parts)
+
+
+def test_contaminated_documents_go(spark, documents):
+    df, benchmark, texts, items = tables(spark, documents)
+    kept = dc.remove_contaminated(df, benchmark)
+    assert kept.columns == df.columns
+    wanted = []
+    for k, text in texts:
+        n, hit, _ = brute(text, items)
+        wanted += [k] * (not (hit and 20 * hit >= n))
+    assert sorted(r["doc_id"] for r in kept.collect()) == wanted
+
+
+def test_empty_tables(spark, documents):
+    df = documents((1, "a b c"), (1, "a b c"))
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    assert [r["hits"]["n_hit"] for r in dc.mark_hits(df, nothing).collect()] == [0, 0]
+    assert dc.mark_hits(df.where("false"), nothing).count() == 0

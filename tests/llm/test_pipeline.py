@@ -1,0 +1,64 @@
+"""The pipeline and the registered queries against their SQL, on the smallest sample tables."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registered
+import corpus_pipeline
+
+from .conftest import by_name
+
+SF = Path("/root/testdata/sf0.001")
+NAMES = [n for n in registered.queries() if n.startswith("op") or n == "pipeline"]
+WITHOUT_SQL = {
+    "op1_importance_resampling", "op3_secret_scan", "op5_content_extraction", "op7_tool_calls",
+}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    con = duckdb.connect()
+    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return con
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    assert len({n.split("_")[0] for n in NAMES}) == 11
+    assert {n for n in NAMES if n not in registered.oracle_sql()} == WITHOUT_SQL
+
+
+@pytest.mark.parametrize("name", sorted(set(NAMES) - WITHOUT_SQL))
+def test_query_matches_sql(spark, connection, name):
+    df = registered.queries()[name](spark, str(SF))
+    result = connection.execute(registered.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    order = sorted(range(len(names)), key=names.__getitem__)
+    wanted = sorted((tuple(r[k] for k in order) for r in result.fetchall()), key=repr)
+    assert sorted(names) == sorted(df.columns) and by_name(df) == wanted
+
+
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_query_runs_on_the_whole_table(spark, connection, name):
+    assert registered.queries()[name](spark, str(SF)).count() > 0
+
+
+def test_stages_keep_the_columns_of_documents(spark, documents):
+    good = " ".join(f"w{i}" for i in range(60))
+    docs = documents((1, good), (2, good + " x"), (3, "short"), (4, None))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(SF))
+        assert out.columns == docs.columns
+    kept = corpus_pipeline.filter_quality(spark, docs, str(SF))
+    one = corpus_pipeline.remove_near_copies(spark, kept, str(SF))
+    assert [r["doc_id"] for r in one.collect()] == [1]
+
+
+def test_stages_of_an_empty_table(spark, documents):
+    docs = documents((1, "x")).where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(SF)).count() == 0

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricepanel.llm import oracle, sharding
+from pricepanel.llm.common import running_total
+from pricepanel.tables import BROADCAST_CONF
+
+from .conftest import DOCUMENT, by_name
+
+
+def corpus(spark, n=500, seed=3):
+    rng = random.Random(seed)
+    rows = [(k, "wé" * min(rng.randrange(900), rng.randrange(900)), rng.choice(["en", "de", None]),
+             rng.choice(["a", "a", "a", "b", "c", None]), 0) for k in range(n)]
+    rows += [(n, None, "en", "a", 0), (n + 1, "", "en", "a", 0), (n + 2, "x" * 600_000, "fr", "z", 0)]
+    rows += [(n + 3, "same", "en", "b", 0)] * 5 + [(None, "same", "en", "b", 0)] * 2
+    return spark.createDataFrame(rows, DOCUMENT).selectExpr("*", "1 AS curve", "2 AS shard")
+
+
+@pytest.mark.parametrize(("dimensions", "bits"), [(1, 3), (2, 1), (2, 5), (3, 4), (4, 2)])
+def test_the_curve_visits_every_cell_and_steps_to_neighbours(dimensions, bits):
+    table = sharding.hilbert_table(dimensions, bits)
+    side = 1 << bits
+    assert sorted(table) == list(range(side**dimensions))
+    cells = sorted(range(len(table)), key=table.__getitem__)
+    points = [[c // side**k % side for k in range(dimensions)] for c in cells]
+    for p, q in zip(points, points[1:], strict=False):
+        assert sum(abs(a - b) for a, b in zip(p, q, strict=True)) == 1
+
+
+@pytest.mark.parametrize("limit", [None, "-1"])
+def test_shards_match_sql(spark, as_sql, limit):
+    df = corpus(spark)
+    if limit:
+        spark.conf.set(BROADCAST_CONF, limit)
+    try:
+        got = sharding.assign_shards(df).cache()
+        assert got.count() == df.count()
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    shown = got.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    assert by_name(shown) == as_sql(oracle.SHARDING, documents=df.drop("curve", "shard"))
+    by_shard = Counter(r["shard"] for r in got.collect())
+    assert set(by_shard) == set(range(16))
+    assert max(by_shard.values()) - min(by_shard.values()) <= 1
+    for k, n in by_shard.items():
+        assert sorted(r["slot"] for r in got.where(f"shard = {k}").collect()) == list(range(n))
+    texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
+    for r in got.collect():
+        assert r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
+
+
+def test_a_shard_covers_a_small_range_of_each_dimension(spark):
+    got = sharding.assign_shards(corpus(spark, 3000))
+    spans = got.groupBy("shard").agg(F.countDistinct("source").alias("s"), F.countDistinct("lang").alias("l"))
+    assert spans.agg(F.avg("s")).first()[0] < 3 and spans.agg(F.avg("l")).first()[0] < 2.5
+
+
+def test_fewer_rows_than_shards_and_none(spark):
+    df = corpus(spark).where("doc_id < 5")
+    assert sorted(r["slot"] for r in sharding.assign_shards(df).collect()) == [0] * 5
+    assert sharding.assign_shards(df.where("false")).count() == 0
+
+
+def test_written_shards_hold_all_rows_in_curve_order(spark, tmp_path):
+    df = corpus(spark).where("doc_id IS NOT NULL")
+    sharding.write_shards(df, str(tmp_path / "shards"), 4)
+    read = spark.read.parquet(str(tmp_path / "shards"))
+    assert read.select("__shard").distinct().count() == 4
+    assert read.select(*df.columns).exceptAll(df).isEmpty() and read.count() == df.count()
+
+
+def test_running_totals_over_ranges(spark):
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id", "id % 7 AS w").repartition(5)
+    for weight in (None, "w"):
+        before, place = 0, 0
+        for r in sorted(running_total(df, ["k", "id"], "t", weight).collect(), key=lambda r: (r["k"], r["id"])):
+            assert r["t"] == (place if weight is None else before)
+            before, place = before + r["w"], place + 1
+
+
+def test_no_python_in_the_plan(spark):
+    plan = sharding.assign_shards(corpus(spark, 20))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
