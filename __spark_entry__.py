@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 from importlib import import_module
 from pathlib import Path
@@ -12,6 +12,7 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -48,6 +49,9 @@ from pricepanel.tables import shared_dir  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 APRIL, MAY = Period(2024, 4), Period(2024, 5)
+LINE_SCHEMA = T.StructType(
+    [T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())]
+)
 LINE = ("l_orderkey", "l_linenumber", "codigo_articulo", "Departamento", "mes", "anio")
 PRICES = ("pgeo", "pgeo_ant", "precio_base")
 
@@ -83,9 +87,10 @@ def landed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = scratch(spark)
-        write_by_period(star_quotes(spark, sf_dir), path)
+        quotes = star_quotes(spark, sf_dir)
+        write_by_period(quotes, path)
         _landed[key] = path
-    return read_quotes(spark, _landed[key])
+    return read_quotes(spark, _landed[key], extra=LINE_SCHEMA)
 
 
 _built: dict[tuple[str, str], History] = {}
@@ -171,7 +176,7 @@ def band_previous(keep_unreferenced: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         quotes = landed_quotes(spark, sf_dir)
         stored = history(spark, sf_dir).filled("dep")
-        prior = fill.prior_slice(stored, "dep", ROLL_FORWARD_PERIOD.previous())
+        prior = fill.prior_prices(stored, "dep", ROLL_FORWARD_PERIOD.previous())
         june = qt.valid_quotes(qt.period_quotes(quotes, ROLL_FORWARD_PERIOD))
         kept = outlier_band_previous(june, prior, keep_unreferenced=keep_unreferenced)
         return show(kept, *LINE, "precio_base", "pgeo_ant")
@@ -253,10 +258,10 @@ def of_history(method: str, present: Callable[[DataFrame, str], DataFrame], leve
 # Roll-forward
 
 
-def prior_slice(level: str) -> Query:
+def prior(level: str, slice_of: Callable[[DataFrame, str, Period], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = history(spark, sf_dir).filled(level)
-        prior = fill.prior_slice(stored, level, ROLL_FORWARD_PERIOD.previous())
+        prior = slice_of(stored, level, ROLL_FORWARD_PERIOD.previous())
         return show(prior, *LEVEL_KEYS[level], "pgeo_ant")
 
     return query
@@ -287,13 +292,45 @@ def audit_new_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     write_panel(history(spark, sf_dir).panels(), path)
+    return every_level(read_panel(spark, path))
+
+
+def every_level(panels: Mapping[str, DataFrame]) -> DataFrame:
     tables = (
         show_panel(table, level).withColumn("nivel", F.lit(level))
-        for level, table in read_panel(spark, path).items()
+        for level, table in panels.items()
     )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def rolled_from_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """June rolled forward from a panel written and read back."""
+    path = scratch(spark)
+    write_panel(history(spark, sf_dir).panels(), path)
+    rolled = roll_forward(landed_quotes(spark, sf_dir), read_panel(spark, path))
+    return every_level(rolled.panels())
+
+
+def rolled_text_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """June with regions as text, one of them not a number."""
+    text = F.when(F.col("region") == 4, "IV").otherwise(F.col("region").cast("string"))
+    quotes = landed_quotes(spark, sf_dir).withColumn("region", text)
+    carried = roll_forward(quotes, history(spark, sf_dir).panels()).carried("dep")
+    return show(carried, *LEVEL_KEYS["dep"], "pgeo", "mes", "anio")
+
+
+def written_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audits of all months, written one by one and read back together."""
+    path = scratch(spark)
+    built = build_history(landed_quotes(spark, sf_dir), keep_votes=True)
+    for period in built.periods:
+        audit = built.audit(period)
+        if "pgeo" not in audit.columns:
+            audit = audit.withColumn("pgeo", F.lit(None).cast("double"))
+        write_audit(audit, path)
+    return show(spark.read.parquet(path), *LINE, "precio_base", "pgeo")
+
+
 def written_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     write_audit(new_month(spark, sf_dir).audit(), path)
@@ -346,6 +383,9 @@ def queries() -> dict[str, Query]:
         "audit_quotes_roll_forward": audit_new_month,
         "write_panel": written_panel,
         "write_audit": written_audit,
+        "write_audit_history": written_history_audit,
+        "roll_forward_from_storage": rolled_from_storage,
+        "roll_forward_dep_text_region": rolled_text_region,
         "roll_forward_dep_open": rolled("dep", keep_unreferenced=True),
     }
     for level in LEVEL_KEYS:
@@ -353,7 +393,8 @@ def queries() -> dict[str, Query]:
         registered[f"forward_{level}"] = of_history("forward", show_prices, level)
         registered[f"panel_{level}"] = of_history("panel", show_prices, level)
         registered[f"fill_{level}"] = of_history("filled", show_panel, level)
-        registered[f"prior_slice_{level}"] = prior_slice(level)
+        registered[f"prior_slice_{level}"] = prior(level, fill.prior_slice)
+        registered[f"prior_prices_{level}"] = prior(level, fill.prior_prices)
         registered[f"roll_forward_{level}"] = rolled(level)
         registered[f"roll_forward_fill_{level}"] = rolled_fill(level)
         if level != "dep":

@@ -34,7 +34,7 @@ DESCRIBED = {
     "prod": ["producto_nombre"],
 }
 
-QUOTES = """
+QUOTES = f"""
 SELECT q.*, 'VAR-' || codigo_articulo || variant AS articulo, 'PROD-' || cod AS producto_nombre
 FROM (
   SELECT r.*,
@@ -43,10 +43,7 @@ FROM (
   FROM (
     SELECT l_orderkey, l_linenumber,
            CASE WHEN l_orderkey % 1009 = 0 THEN NULL
-                WHEN p_size = 50 AND p_partkey % 4 = 0 THEN '1113011'
-                WHEN p_size = 50 AND p_partkey % 4 = 1 THEN '1113021'
-                WHEN p_size = 50 AND p_partkey % 4 = 2 THEN '1230011'
-                WHEN p_size = 50 THEN '1230012'
+                WHEN p_size = 50 THEN [{BY_WEIGHT}][1 + p_partkey % {len(BY_WEIGHT_CODES)}]
                 WHEN p_size = 49 THEN '104000111'
                 WHEN p_size = 48 AND year(l_shipdate) = 1995 THEN '2999001'
                 WHEN p_size = 47 AND year(l_shipdate) < 1999 THEN '2999011'
@@ -54,11 +51,15 @@ FROM (
                 ELSE CAST(2000000 + p_size * 10 + p_partkey % 4 AS VARCHAR)
            END AS codigo_articulo,
            CASE WHEN s_suppkey % 50 <> 7 THEN n_name END AS Departamento,
-           CASE WHEN s_suppkey % 50 <> 7 THEN n_regionkey END AS region,
+           CAST(CASE WHEN s_suppkey % 50 <> 7 THEN
+                  CASE WHEN n_nationkey % 6 = 1 AND year(l_shipdate) = 2001
+                         OR n_nationkey % 12 = 5 AND year(l_shipdate) < 1998
+                       THEN (n_regionkey + 1) % 5 ELSE n_regionkey END
+                END AS INTEGER) AS region,
            CASE WHEN l_orderkey % 89 = 0 THEN NULL
                 WHEN l_orderkey % 83 = 0 THEN CAST(0.0 AS DOUBLE)
                 ELSE CAST(ceil(l_quantity / 10.0) AS DOUBLE) END AS cantidad_actual,
-           CAST(1.0 AS DOUBLE) AS cantidad_base,
+           1 + p_size % 4 * CAST(0.25 AS DOUBLE) AS cantidad_base,
            CASE WHEN l_orderkey % 97 = 0 THEN CAST(0.0 AS DOUBLE)
                 WHEN l_orderkey % 101 = 0 THEN -1 ELSE 1 END
              * (p_retailprice * (1 - l_discount) * (1 + 8 * l_tax)
@@ -67,7 +68,7 @@ FROM (
            CASE WHEN l_linenumber = 2 AND l_orderkey % 53 = 0 THEN NULL
                 WHEN l_linenumber = 1 AND year(l_shipdate) <= 1996 THEN 'IPC-2010'
                 ELSE 'IPC-2023' END AS tipo_precio,
-           CASE WHEN p_size = 45
+           CASE WHEN p_size = 45 AND p_partkey % 4 < 2
                 THEN '-R' || CASE WHEN s_suppkey % 50 <> 7 THEN n_regionkey END
                 ELSE '' END AS variant,
            CAST(CASE WHEN year(l_shipdate) = 1995 THEN 12
@@ -227,36 +228,46 @@ def roll_forward_tables() -> dict[str, str]:
         t[f"{lv}_ant"] = f"""
         SELECT {commas(keys)}, pgeo AS pgeo_ant FROM {lv}_fill
         WHERE anio = {before.anio} AND mes = {before.mes}"""
+        t[f"{lv}_one"] = f"""
+        SELECT {commas(keys)}, min(pgeo_ant) AS pgeo_ant FROM {lv}_ant GROUP BY {commas(keys)}"""
     t["bol_jun"] = f"SELECT * FROM quotes WHERE anio = {anio} AND mes = {mes}"
     t["valid_jun"] = valid("bol_jun")
-    t["banded_jun"] = f"""
-    SELECT a.*, b.pgeo_ant FROM valid_jun a LEFT JOIN dep_ant b ON {on(KEYS["dep"])}
-    WHERE a.precio_base <= b.pgeo_ant * 1.25 AND a.precio_base >= b.pgeo_ant / 1.25"""
-    t["open_jun"] = f"""
-    SELECT a.*, b.pgeo_ant FROM valid_jun a LEFT JOIN dep_ant b ON {on(KEYS["dep"])}
-    WHERE a.precio_base <= coalesce(b.pgeo_ant, a.precio_base) * 1.25
-      AND a.precio_base >= coalesce(b.pgeo_ant, a.precio_base) / 1.25"""
-    t["base_jun"] = popular("banded_jun", ["codigo_articulo", "Departamento"])
-    t["base_open_jun"] = popular("open_jun", ["codigo_articulo", "Departamento"])
-    t["dep_jun"] = dep("base_jun")
-    t["dep_open_jun"] = dep("base_open_jun")
+    cell = ["codigo_articulo", "Departamento"]
+    # A run takes June's quotes, what stands for a missing prior price, and the prior prices:
+    # one per key, or as the monthly program has them, one per key and description.
+    runs = {
+        "jun": ("valid_jun", "b.pgeo_ant", "dep_one"),
+        "open_jun": ("valid_jun", "coalesce(b.pgeo_ant, a.precio_base)", "dep_one"),
+        "written_jun": ("valid_jun", "b.pgeo_ant", "dep_ant"),
+        "text_jun": ("valid_text_jun", "b.pgeo_ant", "dep_one"),
+    }
+    t["bol_text_jun"] = """
+    SELECT * REPLACE (CASE WHEN region <> 4 THEN region END AS region) FROM bol_jun"""
+    t["valid_text_jun"] = valid("bol_text_jun")
+    for run, (rows, price, prior) in runs.items():
+        t[f"banded_{run}"] = f"""
+        SELECT a.*, b.pgeo_ant FROM {rows} a LEFT JOIN {prior} b ON {on(KEYS["dep"])}
+        WHERE a.precio_base <= {price} * 1.25 AND a.precio_base >= {price} / 1.25"""
+        t[f"base_{run}"] = popular(f"banded_{run}", cell)
+        t[f"dep_{run}"] = dep(f"base_{run}")
     for coarse, fine in FINER.items():
         t[f"{coarse}_jun"] = level(coarse, f"{fine}_jun")
 
-    def carried(lv: str, fresh: str) -> str:
+    def carried(lv: str, fresh: str, prior: str = "one") -> str:
         return f"""
         SELECT {merged(KEYS[lv])}, coalesce(b.pgeo, a.pgeo_ant) AS pgeo,
                {mes} AS mes, {anio} AS anio
-        FROM {lv}_ant a FULL JOIN {fresh} b ON {on(KEYS[lv])}"""
+        FROM {lv}_{prior} a FULL JOIN {fresh} b ON {on(KEYS[lv])}"""
 
     articles = commas(["codigo_articulo", *DESCRIBED["dep"]])
     t["articles_ant"] = f"""
     SELECT DISTINCT {articles} FROM dep_fill
     WHERE anio = {before.anio} AND mes = {before.mes}"""
     t["dep_open_carried"] = carried("dep", "dep_open_jun")
+    t["dep_text_carried"] = carried("dep", "dep_text_jun")
     for lv in KEYS:
         t[f"{lv}_carried"] = carried(lv, f"{lv}_jun")
-        t[f"{lv}_carried_written"] = carried(lv, "dep_jun")
+        t[f"{lv}_carried_written"] = carried(lv, "dep_written_jun", "ant")
         t[f"{lv}_fill_jun"] = described(lv, f"{lv}_carried", "articles_ant")
         t[f"{lv}_fill_written"] = described(lv, f"{lv}_carried_written", "articles_ant")
     return t
@@ -329,7 +340,7 @@ def build() -> dict[str, str]:
                             AS INTEGER) AS region FROM quotes""",
         "outlier_band_following": show("banded_abr", [*LINE, "precio_base", "pgeo"]),
         "outlier_band_previous": show("banded_jun", [*LINE, "precio_base", "pgeo_ant"]),
-        "outlier_band_previous_open": show("open_jun", [*LINE, "precio_base", "pgeo_ant"]),
+        "outlier_band_previous_open": show("banded_open_jun", [*LINE, "precio_base", "pgeo_ant"]),
         "presentation_counts": f"""
             SELECT {commas(size)}, count(*) AS votos FROM valid_all GROUP BY {commas(size)}""",
         "popular_presentation": show("base_all", [*LINE, "cantidad_actual", "precio_base"]),
@@ -353,6 +364,14 @@ def build() -> dict[str, str]:
         "audit_quotes_roll_forward": show("base_jun", [*LINE, "precio_base", "pgeo_ant"]),
         "write_panel": every_level("fill"),
         "write_audit": show("base_jun", [*LINE, "precio_base", "pgeo_ant"]),
+        "write_audit_history": " UNION ALL ".join(
+            [show("base_may", [*LINE, "precio_base"]).replace(" FROM", ", NULL AS pgeo FROM")]
+            + [show(f"base_{m}", [*LINE, "precio_base", "pgeo"]) for m in MONTHS if m != "may"]
+        ),
+        "roll_forward_from_storage": every_level("fill_jun"),
+        "roll_forward_dep_text_region": show(
+            "dep_text_carried", [*KEYS["dep"], "pgeo", "mes", "anio"]
+        ),
         "roll_forward_dep_open": show(
             "dep_open_carried", [*KEYS["dep"], "pgeo", "mes", "anio"]
         ),
@@ -364,11 +383,12 @@ def build() -> dict[str, str]:
         final[f"panel_{lv}"] = show(f"{lv}_panel", price_columns(lv))
         final[f"fill_{lv}"] = show(f"{lv}_fill", panel_columns(lv))
         final[f"prior_slice_{lv}"] = show(f"{lv}_ant", [*KEYS[lv], "pgeo_ant"])
+        final[f"prior_prices_{lv}"] = show(f"{lv}_one", [*KEYS[lv], "pgeo_ant"])
         final[f"roll_forward_{lv}"] = show(
             f"{lv}_carried", [*KEYS[lv], "pgeo", "mes", "anio"]
         )
         final[f"roll_forward_fill_{lv}"] = show(f"{lv}_fill_jun", panel_columns(lv))
-        if lv != "dep":
+        if lv != "dep":  # the department level is carried the same way in both
             final[f"roll_forward_{lv}_as_written"] = show(
                 f"{lv}_carried_written", [*KEYS[lv], "pgeo", "mes", "anio"]
             )

@@ -1,6 +1,5 @@
 from pricepanel.functions.columns import (
     base_price,
-    geo_mean,
     is_by_weight,
     period_ordinal,
     product_code,
@@ -10,7 +9,6 @@ from pricepanel.functions.columns import (
 
 __all__ = [
     "base_price",
-    "geo_mean",
     "is_by_weight",
     "period_ordinal",
     "product_code",

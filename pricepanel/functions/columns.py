@@ -18,11 +18,6 @@ def ln_positive(x: Column) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
-def geo_mean(x: Column) -> Column:
-    """Geometric mean of the positive values; null if there are none."""
-    return F.exp(F.avg(ln_positive(x)))
-
-
 def w_geo_mean(x: Column, w: Column) -> Column:
     """Weighted geometric mean.
 
@@ -46,8 +41,7 @@ def product_code(code: Column) -> Column:
 
 def is_by_weight(codes: Iterable[str] = BY_WEIGHT_CODES) -> Column:
     """True for by-weight varieties; a null code is not one of them."""
-    listed = ", ".join(f"'{code}'" for code in codes) or "NULL"
-    return F.expr(f"coalesce(codigo_articulo IN ({listed}), false)")
+    return F.coalesce(F.col("codigo_articulo").isin(*codes), F.lit(False))
 
 
 def region_number(region: Column) -> Column:

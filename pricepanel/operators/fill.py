@@ -4,61 +4,86 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricepanel.functions import columns as C
 from pricepanel.schema import LEVEL_ATTRIBUTES, LEVEL_KEYS, PERIOD, Period
 
 
-def _with_fills(prices: DataFrame, level: str, periods: Sequence[Period]) -> DataFrame:
+def _with_fills(
+    prices: DataFrame, level: str, periods: Sequence[Period], described: bool = True
+) -> DataFrame:
     """Every key in every month, with what lies at or after and at or before the month.
 
-    One shuffle: the months of a key are gathered into a map no longer than
-    ``periods``, spread out again over all months, and filled by windows on the
-    same partitioning. Grouping treats null keys as equal.
+    One shuffle: the months of a key become columns of numbers, are spread out again over
+    all months, and filled by windows on the same partitioning. Grouping treats null keys
+    as equal. If a key has several rows in a month, as in a stored panel with several
+    descriptions, the highest price and count are taken. Of the attributes only those of
+    the last month are gathered, and none unless ``described``.
     """
+    if not periods:
+        raise ValueError("a fill needs at least one month")
     keys = LEVEL_KEYS[level]
-    attributes = LEVEL_ATTRIBUTES[level]
+    attributes = LEVEL_ATTRIBUTES[level] if described else ()
     periods = sorted(periods)
     carry_from = periods[min(1, len(periods) - 1)].ordinal
 
-    month = C.period_ordinal(F.col("anio"), F.col("mes"))
-    observed = prices.where(C.in_periods(periods)).groupBy(*keys).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(month, F.struct("pgeo", "n", *attributes)))
-        ).alias("seen")
-    )
-    months = F.explode(F.array(*(F.lit(p.ordinal) for p in periods)))
-    grid = observed.select(*keys, "seen", months.alias("month")).select(
-        *keys,
-        "month",
-        F.col("seen")[F.col("month")].alias("own"),
-        F.col("seen")[F.lit(periods[-1].ordinal)].alias("anchor"),
-    )
+    def of_month(period: Period, value: Column) -> Column:
+        return F.max(F.when(C.in_period(period), value))
+
+    numbers = (
+        column
+        for k, p in enumerate(periods)
+        for column in (
+            of_month(p, F.col("pgeo")).alias(f"__pgeo{k}"),
+            of_month(p, F.col("n")).alias(f"__n{k}") if "n" in prices.columns
+            else F.lit(None).cast("long").alias(f"__n{k}"),
+            F.coalesce(of_month(p, F.lit(True)), F.lit(False)).alias(f"__seen{k}"),
+        )
+    )
+    # Nulls are not collected, so one entry comes together, that of the last month.
+    anchor = F.when(C.in_period(periods[-1]), F.struct(*attributes)) if described else None
+    anchors = [F.array_min(F.collect_list(anchor)).alias("anchor")] if described else []
+    observed = prices.where(C.in_periods(periods)).groupBy(*keys).agg(*numbers, *anchors)
+    months = F.explode(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(p.ordinal).alias("month"),
+                    F.col(f"__pgeo{k}").alias("pgeo"),
+                    F.col(f"__n{k}").alias("n"),
+                    F.col(f"__seen{k}").alias("seen"),
+                )
+                for k, p in enumerate(periods)
+            )
+        )
+    ).alias("own")
+    shown = ("anchor",) if described else ()
+    grid = observed.select(*keys, *shown, months).select(*keys, *shown, "own.*")
 
     by_month = Window.partitionBy(*keys).orderBy("month")
     onward = by_month.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = F.when(F.col("month") >= carry_from, F.col("own"))
+    carries = F.col("month") >= carry_from
     return grid.select(
         *keys,
         "month",
-        F.col("own")["n"].alias("n"),
-        F.first(F.col("own")["pgeo"], ignorenulls=True).over(onward).alias("next_price"),
-        F.last(carried["pgeo"], ignorenulls=True).over(so_far).alias("last_price"),
-        F.max(F.col("own").isNotNull()).over(onward).alias("has_next"),
-        F.max(carried.isNotNull()).over(so_far).alias("has_last"),
+        "n",
+        F.first("pgeo", ignorenulls=True).over(onward).alias("next_price"),
+        F.last(F.when(carries, F.col("pgeo")), ignorenulls=True).over(so_far).alias("last_price"),
+        F.max("seen").over(onward).alias("has_next"),
+        F.max(carries & F.col("seen")).over(so_far).alias("has_last"),
         *(F.col("anchor")[a].alias(a) for a in attributes),
     )
 
 
-def _finish(filled: DataFrame, level: str, price) -> DataFrame:
+def _finish(filled: DataFrame, level: str, price: Column, described: bool = True) -> DataFrame:
     return filled.select(
         *LEVEL_KEYS[level],
         price.alias("pgeo"),
         "n",
-        *LEVEL_ATTRIBUTES[level],
+        *(LEVEL_ATTRIBUTES[level] if described else ()),
         C.month_of(F.col("month")).alias("mes"),
         C.year_of(F.col("month")).alias("anio"),
     )
@@ -75,13 +100,16 @@ def backcast(prices: DataFrame, level: str, periods: Sequence[Period]) -> DataFr
     return _finish(filled, level, F.col("next_price"))
 
 
-def panel(prices: DataFrame, level: str, periods: Sequence[Period]) -> DataFrame:
+def panel(
+    prices: DataFrame, level: str, periods: Sequence[Period], described: bool = True
+) -> DataFrame:
     """Backcast, then missing prices taken from the nearest earlier month.
 
-    The first month is not carried forward: the chain starts at the second.
+    The first month is not carried forward: the chain starts at the second. Without
+    ``described`` the attributes are left out.
     """
-    filled = _with_fills(prices, level, periods).where("has_next OR has_last")
-    return _finish(filled, level, F.coalesce("next_price", "last_price"))
+    filled = _with_fills(prices, level, periods, described).where("has_next OR has_last")
+    return _finish(filled, level, F.coalesce("next_price", "last_price"), described)
 
 
 def forward(prices: DataFrame, level: str, periods: Sequence[Period]) -> DataFrame:
@@ -97,5 +125,15 @@ def prior_slice(stored: DataFrame, level: str, period: Period) -> DataFrame:
     )
 
 
+def prior_prices(stored: DataFrame, level: str, period: Period) -> DataFrame:
+    """The prior slice with one row per key.
+
+    A code with several descriptions has a row for each in the stored panel, all with the
+    same price; taken as they are, they would multiply every month.
+    """
+    keys = LEVEL_KEYS[level]
+    return prior_slice(stored, level, period).groupBy(*keys).agg(F.min("pgeo_ant").alias("pgeo_ant"))
+
+
 def stamp(df: DataFrame, period: Period) -> DataFrame:
     return df.withColumns(dict(zip(PERIOD, map(F.lit, period), strict=True)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricepanel.functions import columns as C
@@ -21,14 +21,13 @@ _DEP_COLUMNS = (
 )
 
 
-def _quote_sums(quotes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Count and logarithm sums per key, in one hash aggregation over the quotes."""
-    sums = quotes.groupBy(*keys, *_CELL_ATTRIBUTES).agg(
+def _sums_by_attributes(quotes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count and logarithm sums per key and attributes, in one hash aggregation."""
+    return quotes.groupBy(*keys, *_CELL_ATTRIBUTES).agg(
         F.expr("count(*) AS n"),
         F.expr("count_if(precio_base > 0) AS n_positive"),
         F.expr("sum(CASE WHEN precio_base > 0 THEN ln(precio_base) END) AS ln_sum"),
     )
-    return _add_sums(sums, keys)
 
 
 def _add_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,29 +48,33 @@ def dep_price(quotes: DataFrame) -> DataFrame:
     ``n`` counts all quotes, also those without a positive price, which the
     mean skips.
     """
-    return _dep_from_sums(_quote_sums(quotes, CELL))
+    return _dep_from_sums(_add_sums(_sums_by_attributes(quotes, CELL), CELL))
 
 
 def size_sums(quotes: DataFrame, by_weight: Iterable[str] = BY_WEIGHT_CODES) -> DataFrame:
-    """Sums per cell and package size, all that the vote and the mean need."""
-    return _quote_sums(quotes.withColumn("__size", vote_size(by_weight)), (*CELL, "__size"))
+    """Sums per cell, package size and attributes, all that the vote and the mean need."""
+    return _sums_by_attributes(quotes.withColumn("__size", vote_size(by_weight)), (*CELL, "__size"))
 
 
 def counts_from_sums(sums: DataFrame) -> DataFrame:
     """Presentation counts out of ``size_sums``."""
-    return sums.select(*CELL, F.col("__size").alias(SIZE), F.col("n").alias("count"))
+    return sums.groupBy(*CELL, F.col("__size").alias(SIZE)).agg(F.sum("n").alias("count"))
 
 
 def dep_price_from_sums(sums: DataFrame) -> DataFrame:
     """Vote and department price out of ``size_sums``, without going back to the quotes.
 
-    Sizes with equally many quotes are added up first, then each cell takes the
-    entry with most quotes per size.
+    The sums of a cell, a few rows, are brought together once. Votes of its sizes and the
+    most of them come from windows on that partitioning, and the sums of the sizes with
+    most votes are added up, on it too; only this last step has text in it.
     """
-    tied = _add_sums(sums.withColumn("votes", F.col("n")), (*CELL, "votes"))
-    parts = ("votes", "n", "n_positive", "ln_sum", *_CELL_ATTRIBUTES)
-    top = tied.groupBy(*CELL).agg(F.max(F.struct(*parts)).alias("top"))
-    return _dep_from_sums(top.select(*CELL, "top.*"))
+    size = Window.partitionBy(*CELL, "__size")
+    marked = (
+        sums.repartition(*(F.col(c) for c in CELL))
+        .withColumn("votes", F.sum("n").over(size))
+        .withColumn("most", F.max("votes").over(Window.partitionBy(*CELL)))
+    )
+    return _dep_from_sums(_add_sums(marked.where("votes = most"), CELL))
 
 
 def roll_up(prices: DataFrame, level: str) -> DataFrame:

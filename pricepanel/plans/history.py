@@ -17,7 +17,12 @@ from pricepanel.operators.levels import (
 )
 from pricepanel.operators.outliers import outlier_band_following
 from pricepanel.operators.presentation import popular_presentation
-from pricepanel.operators.quotes import period_quotes, regime_filter, valid_quotes
+from pricepanel.operators.quotes import (
+    normalize_region,
+    period_quotes,
+    regime_filter,
+    valid_quotes,
+)
 from pricepanel.schema import (
     BAND_FACTOR,
     BY_WEIGHT_CODES,
@@ -65,7 +70,8 @@ class History:
 
     def filled(self, level: str) -> DataFrame:
         """A finished panel table, descriptions attached."""
-        return dims.fill_level(self.panel(level), level, self.articles)
+        bare = fill.panel(self.prices(level), level, self.periods, described=False)
+        return dims.fill_level(bare, level, self.articles)
 
     def panels(self) -> dict[str, DataFrame]:
         return {level: self.filled(level) for level in LEVEL_KEYS}
@@ -100,6 +106,9 @@ def build_history(
     per package size, which spares the audit export a second counting pass.
     """
     periods = tuple(sorted(periods))
+    if not periods:
+        raise ValueError("a history needs at least one month")
+    quotes = normalize_region(quotes)
     by_weight = tuple(by_weight)
     regime_periods = tuple(regime_periods)
     cleaned: dict[Period, Table] = {}

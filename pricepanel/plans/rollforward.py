@@ -14,7 +14,7 @@ from pricepanel.operators import dims, fill
 from pricepanel.operators.levels import dep_price_from_sums, roll_up, size_sums
 from pricepanel.operators.outliers import outlier_band_previous
 from pricepanel.operators.presentation import popular_presentation
-from pricepanel.operators.quotes import period_quotes, valid_quotes
+from pricepanel.operators.quotes import normalize_region, period_quotes, valid_quotes
 from pricepanel.schema import (
     BAND_FACTOR,
     BY_WEIGHT_CODES,
@@ -28,8 +28,8 @@ from pricepanel.tables import Table, lookup_join, materialize, null_safe_join
 def carry_forward(prior: DataFrame, prices: DataFrame, level: str, period: Period) -> DataFrame:
     """New prices of ``period``, and the prior price for every key without one.
 
-    ``prior`` has ``pgeo_ant``. Both sides have about one row per key, so a full
-    join has no heavy keys.
+    ``prior`` has ``pgeo_ant``, one row per key, and so have ``prices``: a full join
+    has no heavy keys.
     """
     keys = LEVEL_KEYS[level]
     joined = null_safe_join(prior, prices.select(*keys, "pgeo"), keys, "full")
@@ -65,6 +65,7 @@ class RollForward:
 
     period: Period
     stored: Mapping[str, DataFrame]
+    prior: dict[str, Table]
     banded: DataFrame
     dep: DataFrame
     by_weight: tuple[str, ...]
@@ -75,10 +76,13 @@ class RollForward:
 
     def carried(self, level: str) -> DataFrame:
         """Prices of the new month, carried over where there is no new one."""
-        prior = fill.prior_slice(self.stored[level], level, self.period.previous())
+        if level not in self.prior:
+            slice_of = fill.prior_slice if self.as_written else fill.prior_prices
+            period = self.period.previous()
+            self.prior[level] = materialize(slice_of(self.stored[level], level, period))
         if self.as_written and level != "dep":
-            return carry_forward_departments(prior, self.dep, level, self.period)
-        return carry_forward(prior, self.prices(level), level, self.period)
+            return carry_forward_departments(self.prior[level], self.dep, level, self.period)
+        return carry_forward(self.prior[level].df, self.prices(level), level, self.period)
 
     @cached_property
     def articles(self) -> Table:
@@ -109,12 +113,15 @@ def roll_forward(
     """Clean one month against the stored panel's previous month and carry gaps forward.
 
     ``stored`` maps each level to its panel table. ``as_written`` carries region,
-    variety and product prices forward against the new department prices.
+    variety and product prices forward against the new department prices, and takes every
+    stored row of a key with several descriptions, so that rows multiply from month to
+    month: it is for comparison with one month of the original program, not for a loop.
     """
     period = Period(*period)
     by_weight = tuple(by_weight)
-    previous = materialize(fill.prior_slice(stored["dep"], "dep", period.previous()))
-    rows = valid_quotes(period_quotes(quotes, period))
+    slice_of = fill.prior_slice if as_written else fill.prior_prices
+    previous = materialize(slice_of(stored["dep"], "dep", period.previous()))
+    rows = valid_quotes(period_quotes(normalize_region(quotes), period))
     banded = outlier_band_previous(rows, previous, factor, keep_unreferenced)
     dep = materialize(dep_price_from_sums(size_sums(banded, by_weight))).df
-    return RollForward(period, stored, banded, dep, by_weight, as_written)
+    return RollForward(period, stored, {"dep": previous}, banded, dep, by_weight, as_written)

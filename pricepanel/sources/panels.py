@@ -14,9 +14,10 @@ from pricepanel.schema import LEVEL_KEYS, PERIOD, panel_schema
 
 
 def write_by_period(df: DataFrame, path: str, source: str = "parquet") -> None:
-    """Replace the months present in ``df``."""
+    """Replace the months present in ``df``, each in files of even size."""
     (
-        df.write.format(source)
+        df.hint("rebalance", *PERIOD)
+        .write.format(source)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD)
@@ -25,9 +26,9 @@ def write_by_period(df: DataFrame, path: str, source: str = "parquet") -> None:
 
 
 def write_panel(panels: Mapping[str, DataFrame], path: str, source: str = "parquet") -> None:
-    """Write the panel tables side by side, each month in files of even size."""
+    """Write the panel tables side by side."""
     for level, table in panels.items():
-        write_by_period(table.hint("rebalance", *PERIOD), f"{path}/{level}", source)
+        write_by_period(table, f"{path}/{level}", source)
 
 
 def read_panel(spark: SparkSession, path: str, source: str = "parquet") -> dict[str, DataFrame]:
@@ -39,5 +40,5 @@ def read_panel(spark: SparkSession, path: str, source: str = "parquet") -> dict[
 
 
 def write_audit(quotes: DataFrame, path: str, source: str = "parquet") -> None:
-    """Write the quotes used. They already lie by month, so they are not shuffled."""
+    """Write the quotes used."""
     write_by_period(quotes, path, source)

@@ -32,15 +32,21 @@ def read_quotes(
     path: str | None = None,
     periods: Iterable[Period] | None = None,
     source: str = "parquet",
+    extra: T.StructType = T.StructType(),
     **options: str,
 ) -> DataFrame:
     """Quotes of some months, or all.
 
-    Stored by ``anio`` and ``mes``, only the partitions asked for are read. Other
-    formats, ``jdbc`` with its partitioning options among them, are named by ``source``.
-    The month filter is on the bare columns so that it reaches the source.
+    The schema is declared, so files are not read to infer it; ``extra`` declares columns
+    beyond it, which stand before the quote columns in a format without names. Stored by
+    ``anio`` and ``mes``, only the partitions asked for are read. ``jdbc``, whose tables have
+    a schema of their own, takes its partitioning as options. The month filter is on the
+    bare columns so that it reaches the source.
     """
-    raw = spark.read.format(source).options(**options).load(path)
+    reader = spark.read.format(source).options(**options)
+    if source != "jdbc":
+        reader = reader.schema(T.StructType([*extra.fields, *QUOTE_SCHEMA.fields]))
+    raw = reader.load(path)
     if periods is not None:
         raw = raw.where(in_periods(periods))
     return conform_quotes(raw)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.functions.columns import product_code
+from pricepanel.schema import BY_WEIGHT_CODES
 
 FIRST_YEAR = 1995
 
@@ -21,11 +22,9 @@ FIRST_YEAR = 1995
 def _part_code() -> Column:
     """Variety code of a part, as it stands in most months."""
     size, group = F.col("p_size"), F.col("p_partkey") % 4
+    weighed = F.array(*map(F.lit, BY_WEIGHT_CODES))
     return (
-        F.when((size == 50) & (group == 0), "1113011")
-        .when((size == 50) & (group == 1), "1113021")
-        .when((size == 50) & (group == 2), "1230011")
-        .when(size == 50, "1230012")
+        F.when(size == 50, F.get(weighed, (F.col("p_partkey") % len(BY_WEIGHT_CODES)).cast("int")))
         .when(size == 49, "104000111")
         .otherwise((2000000 + size * 10 + group).cast("string"))
     )
@@ -43,6 +42,15 @@ def _variety() -> Column:
     )
 
 
+def _region() -> Column:
+    """Region of a nation, which for some of them changes in March and for others in June."""
+    nation, year = F.col("n_nationkey"), F.col("year")
+    moved = ((nation % 6 == 1) & (year == FIRST_YEAR + 6)) | (
+        (nation % 12 == 5) & (year < FIRST_YEAR + 3)
+    )
+    return F.when(moved, (F.col("n_regionkey") + 1) % 5).otherwise(F.col("n_regionkey"))
+
+
 def _price() -> Column:
     price = (
         F.col("p_retailprice")
@@ -77,19 +85,22 @@ def star_quotes(spark: SparkSession, directory: str) -> DataFrame:
             "l_linenumber",
             _variety().alias("codigo_articulo"),
             F.when(listed, F.col("n_name")).alias("Departamento"),
-            F.when(listed, F.col("n_regionkey")).alias("region"),
+            F.when(listed, _region()).cast("int").alias("region"),
             F.when(F.col("l_orderkey") % 89 == 0, F.lit(None))
             .when(F.col("l_orderkey") % 83 == 0, 0.0)
             .otherwise(F.ceil(F.col("l_quantity") / 10.0).cast("double"))
             .alias("cantidad_actual"),
-            F.lit(1.0).alias("cantidad_base"),
+            (1 + F.col("p_size") % 4 * F.lit(0.25)).alias("cantidad_base"),
             _price().alias("precio_actual"),
             F.when((F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 53 == 0), F.lit(None))
             .when((F.col("l_linenumber") == 1) & (F.col("year") <= FIRST_YEAR + 1), "IPC-2010")
             .otherwise("IPC-2023")
             .alias("tipo_precio"),
-            # One part size is described differently from region to region.
-            F.when(F.col("p_size") == 45, F.concat(F.lit("-R"), F.when(listed, F.col("n_regionkey"))))
+            # Two of the four varieties of one product are described by region.
+            F.when(
+                (F.col("p_size") == 45) & (F.col("p_partkey") % 4 < 2),
+                F.concat(F.lit("-R"), F.when(listed, F.col("n_regionkey"))),
+            )
             .otherwise("")
             .alias("variant"),
             F.expr(f"CASE WHEN year = {FIRST_YEAR} THEN 12 ELSE year - {FIRST_YEAR} END AS mes"),

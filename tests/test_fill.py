@@ -5,6 +5,7 @@ import random
 import pytest
 from conftest import rows
 from literal import fill_chain
+from pyspark.sql import functions as F
 
 from pricepanel.operators import fill
 from pricepanel.schema import HISTORY_PERIODS, Period
@@ -108,3 +109,28 @@ def test_fill_shuffles_once(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
     assert "Join" not in text and "Cartesian" not in text
+
+
+def test_a_stored_panel_with_several_rows_per_key_can_be_filled(spark):
+    twice = variety_prices(spark, {"x": {1: 10.0, 4: 40.0}})
+    twice = twice.unionByName(twice.withColumn("articulo", F.lit("other")))
+    assert series(fill.panel(twice, "var", HISTORY_PERIODS)) == {
+        "x": {0: 10.0, 1: 10.0, 2: 40.0, 3: 40.0, 4: 40.0, 5: 40.0}
+    }
+    bare = twice.drop("n", "articulo", "producto_nombre", "cant_base", "cod_prod")
+    assert fill.panel(bare, "var", HISTORY_PERIODS, described=False).count() == 6
+
+
+def test_text_is_gathered_for_the_last_month_at_most(spark):
+    prices = variety_prices(spark, {"x": {1: 10.0, 5: 40.0}})
+    bare = fill.panel(prices, "var", HISTORY_PERIODS, described=False)
+    plan = bare._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    described = fill.panel(prices, "var", HISTORY_PERIODS).collect()
+    assert {r["articulo"] for r in described} == {"a5"}
+
+
+def test_no_months_are_refused(spark):
+    with pytest.raises(ValueError, match="at least one month"):
+        fill.panel(variety_prices(spark, {"x": {1: 1.0}}), "var", [])

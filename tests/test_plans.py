@@ -7,9 +7,11 @@ import pytest
 from conftest import quote, rows
 from literal import CODE, history_panels
 from literal import roll_forward as literal_roll_forward
+from pyspark.sql import functions as F
 
 from pricepanel import build_history, read_panel, read_quotes, roll_forward, write_audit, write_panel
 from pricepanel.operators import dims
+from pricepanel.operators import levels as lv
 from pricepanel.operators import quotes as qt
 from pricepanel.operators.outliers import outlier_band_following, outlier_band_previous
 from pricepanel.schema import (
@@ -189,9 +191,62 @@ def test_two_descriptions_double_the_rows(quotes):
         ("A", "one"), ("A", "two"), ("B", "one"), ("B", "two"),
     ]
     assert rows(dims.description_conflicts(history.articles.df)) == [("2000001", 2)]
-    # The prior rows of a cell are two, and each takes both descriptions again.
+    # The stored panel has two rows per cell; the cell has one price and is described twice.
     rolled = roll_forward(quotes(quote(period=JUNE)), history.panels())
-    assert rolled.filled("dep").count() == 8
+    assert rows(rolled.carried("dep"), "Departamento") == [("A",), ("B",)]
+    assert rolled.filled("dep").count() == 4
+    assert rolled.audit().count() == 1
+
+
+def test_rows_do_not_multiply_from_month_to_month(spark, quotes, tmp_path):
+    df = quotes(
+        quote(department="A", articulo="one"), quote(department="B", articulo="two"),
+        quote(code="2000002", price=7.0),
+    )
+    path = str(tmp_path / "panel")
+    write_panel(build_history(df, [MAY]).panels(), path)
+    for month in range(6, 10):
+        new = quotes(quote(period=Period(2024, month)))
+        rolled = roll_forward(new, read_panel(spark, path), Period(2024, month))
+        write_panel(rolled.panels(), path)
+        stored = read_panel(spark, path)["dep"].where(f"mes = {month}")
+        assert rows(stored.groupBy("codigo_articulo", "Departamento").count()) == [
+            ("2000001", "A", 2), ("2000001", "B", 2), ("2000002", "A", 1),
+        ]
+
+
+def test_descriptions_do_not_weigh_in_the_product_price(quotes):
+    may = quotes(
+        quote(department="A", price=10.0, articulo="one"),
+        quote(department="B", price=10.0, articulo="two"),
+        quote(code="2000002", department="A", price=40.0),
+        quote(code="2000002", department="B", price=40.0),
+    )
+    june = quotes(
+        *(
+            quote(code=code, department=department, price=price, period=JUNE)
+            for code, price in (("2000001", 10.0), ("2000002", 40.0))
+            for department in ("A", "B")
+        )
+    )
+    rolled = roll_forward(june, build_history(may, [MAY]).panels())
+    assert rows(rolled.carried("prod"), "cod_prod", "pgeo") == [("200000", 20.0)]
+
+
+def test_text_regions_become_numbers_in_both_jobs(quotes):
+    text = quotes(quote(), quote(department="B")).withColumn(
+        "region", F.expr("CASE Departamento WHEN 'A' THEN '1' ELSE 'IV' END")
+    )
+    history = build_history(text, [MAY])
+    assert rows(history.filled("dep"), "Departamento", "region") == [("A", 1), ("B", None)]
+    june = text.withColumn("mes", F.lit(6))
+    rolled = roll_forward(june, history.panels())
+    assert rows(rolled.audit(), "Departamento", "region") == [("A", 1), ("B", None)]
+
+
+def test_no_months_are_refused(quotes):
+    with pytest.raises(ValueError, match="at least one month"):
+        build_history(quotes(quote()), [])
 
 
 def test_incomplete_descriptions_are_left_out(quotes):
@@ -278,16 +333,28 @@ def test_audit_is_stored_by_month(spark, built, tmp_path):
     assert folders == {"anio=2024/mes=4", "anio=2024/mes=5"}
 
 
-@pytest.mark.parametrize("source", ["parquet", "orc", "json"])
+@pytest.mark.parametrize("source", ["parquet", "orc", "json", "csv"])
 def test_quotes_of_some_months(spark, quotes, tmp_path, source):
     path = str(tmp_path / source)
     df = quotes(quote(period=MAY), quote(code="z", period=APRIL), quote(period=JUNE, region=None))
     write_by_period(df, path, source)
     read = read_quotes(spark, path, [APRIL, MAY], source)
+    if source != "json":
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "anio#" in plan[plan.index("PartitionFilters") :].partition("]")[0]
     assert rows(read, "codigo_articulo", "mes") == [("2000001", 5), ("z", 4)]
     assert rows(read_quotes(spark, path, source=source), *QUOTE_SCHEMA.names) == rows(df)
 
 
+def test_a_month_is_aggregated_with_few_exchanges(quotes):
+    priced = lv.dep_price_from_sums(lv.size_sums(valid(quotes, quote())))
+    plan = priced._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    # Text is aggregated in the last step only, on the partitioning that is there.
+    last = plan.index("Window")
+    assert "SortAggregate" in plan[:last] and "SortAggregate" not in plan[last:]
+
+
 def test_a_cleaning_step_reads_one_month(spark, quotes, tmp_path):
     path = str(tmp_path / "quotes")
     write_by_period(quotes(quote(period=MAY), quote(period=APRIL)), path)
