@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 from importlib import import_module
@@ -44,7 +43,7 @@ from pricepanel.sources.panels import (  # noqa: E402
 )
 from pricepanel.sources.quotes import read_quotes  # noqa: E402
 from pricepanel.sources.star import star_quotes  # noqa: E402
-from pricepanel.tables import shared_dir  # noqa: E402
+from pricepanel.tables import scratch_path  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,11 +69,6 @@ def show_panel(df: DataFrame, level: str) -> DataFrame:
     return show(df, *panel_columns(level))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder next to the checkpoints, which all executors can reach."""
-    return f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
-
-
 _landed: dict[tuple[str, str], str] = {}
 
 
@@ -86,7 +80,7 @@ def landed_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        path = scratch(spark)
+        path = scratch_path(spark, "export")
         quotes = star_quotes(spark, sf_dir)
         write_by_period(quotes, path)
         _landed[key] = path
@@ -290,7 +284,7 @@ def audit_new_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
+    path = scratch_path(spark, "export")
     write_panel(history(spark, sf_dir).panels(), path)
     return every_level(read_panel(spark, path))
 
@@ -305,7 +299,7 @@ def every_level(panels: Mapping[str, DataFrame]) -> DataFrame:
 
 def rolled_from_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """June rolled forward from a panel written and read back."""
-    path = scratch(spark)
+    path = scratch_path(spark, "export")
     write_panel(history(spark, sf_dir).panels(), path)
     rolled = roll_forward(landed_quotes(spark, sf_dir), read_panel(spark, path))
     return every_level(rolled.panels())
@@ -321,7 +315,7 @@ def rolled_text_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audits of all months, written one by one and read back together."""
-    path = scratch(spark)
+    path = scratch_path(spark, "export")
     built = build_history(landed_quotes(spark, sf_dir), keep_votes=True)
     for period in built.periods:
         audit = built.audit(period)
@@ -332,7 +326,7 @@ def written_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark)
+    path = scratch_path(spark, "export")
     write_audit(new_month(spark, sf_dir).audit(), path)
     return show(spark.read.parquet(path), *LINE, "precio_base", "pgeo_ant")
 

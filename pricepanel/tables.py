@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Sequence
+from contextlib import suppress
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +61,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new folder that all executors can reach, removed when the program ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark.sparkContext, path)
+    return path
+
+
+def _remove(sc: SparkContext, path: str) -> None:
+    """Delete a folder of the shared store, as far as the session's JVM is still there."""
+    with suppress(Exception):
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> Table:
     """Compute ``df`` once and keep it on storage that outlives an executor."""
     shared_dir(df.sparkSession)

@@ -127,3 +127,17 @@ def test_known_frequencies_replace_the_count(no_broadcast, big, table):
     keys = {r["k"] for r in table.collect()}
     wanted = sorted(((r["k"], r["id"]) for r in big.collect() if r["k"] in keys), key=repr)
     assert rows(split, "k", "id") == wanted
+
+
+def test_scratch_folders_are_shared_and_removed(spark):
+    from pathlib import Path
+
+    from pricepanel.tables import _remove, scratch_path, shared_dir
+
+    path = scratch_path(spark, "kind")
+    assert path.startswith(shared_dir(spark)) and path != scratch_path(spark, "kind")
+    spark.range(3).write.parquet(path)
+    local = Path(path.removeprefix("file:"))
+    assert local.exists()
+    _remove(spark.sparkContext, path)
+    assert not local.exists()
