@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricepanel.tables import materialize, shared_dir
+from pricepanel.tables import materialize, scratch_path
 
 # A stretch of ASCII white space, which parts words.
 GAP = "[ \\t\\n\\x0B\\f\\r]+"
@@ -18,11 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A new folder that driver and executors share."""
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, kind: str) -> DataFrame:
     """``df`` computed once into a table in the shared folder, which cuts its lineage."""
     spark = df.sparkSession

@@ -37,8 +37,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricepanel.llm.common import scratch_path
-from pricepanel.tables import lookup_join, materialize
+from pricepanel.tables import lookup_join, materialize, scratch_path
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
