@@ -44,7 +44,8 @@ _IN_WORD = f"(?i)(?<=(?:{_NAMES})[\"']?[=:][\"']?){_VALUE}|{_ENCODED}"
 # Words that speak for or against a secret nearby, paths that hold examples.
 _FOR = "pass|pwd|secret|token|key|auth|credential|bearer|private|login"
 _AGAINST = "commit|sha1|sha256|md5|checksum|digest|uuid|version|build|example|sample|dummy|path|page"
-_EXAMPLE_PATH = "test|example|sample|mock|fixture|doc"
+# Whole components of a path.
+_EXAMPLE_PATH = "(?:^|[/\\\\])(?:tests?|examples?|samples?|mocks?|fixtures?|doc)(?:$|[/\\\\])"
 # Dictionary words that identifiers, paths and placeholders are made of.
 DICTIONARY = (
     "about", "account", "action", "address", "admin", "after", "array", "async", "backup", "base",
@@ -158,10 +159,11 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
             "turn": F.expr("conv(substr(hex, 16, 4), 16, 10) % 1000"),
         }
     )
-    # (label, candidate, word two before, word before, own word with {} for the candidate)
+    # (label, 2 for a password that counts as made up in an example; candidate, word two before, word before,
+    # own word with {} for the candidate)
     forms = (
         (1, "concat('AKIA', substr(upper, 1, 16))", "word", "other", "{}"),
-        (1, "substr(hex, 20, 18)", "word", "other", "password={}"),
+        (2, "substr(hex, 20, 18)", "word", "other", "password={}"),
         (1, "substr(hex, 20, 40)", "'token'", "'='", "\"{}\""),
         (1, "substr(key, 1, 40)", "word", "'secret_key:'", "{}"),
         (1, "concat('ghp_', substr(translate(key, '+/', 'xy'), 1, 36))", "word", "other", "{}"),
@@ -186,16 +188,17 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
     def chosen(options: Column) -> Column:
         return F.get(options, pick.cast("int"))
 
-    example = F.col("turn") % 7 == 0
+    path = F.when(F.col("turn") % 7 == 0, F.concat(F.lit("tests/"), "word")).otherwise(F.col("other"))
+    made_up = (chosen(labels) == 2) & path.rlike(_EXAMPLE_PATH)
     return made.select(
         chosen(values).alias("candidate"),
         F.concat_ws(
             " ", chosen(first), chosen(second), F.replace(chosen(own), F.lit("{}"), chosen(values))
         ).alias("before"),
         F.col("third").alias("after"),
-        F.when(example, F.concat(F.lit("tests/"), "word")).otherwise(F.col("other")).alias("path"),
-        # What stands in a test is taken for an example.
-        F.when(example, 0.0).otherwise(chosen(labels)).alias("label"),
+        path.alias("path"),
+        # A key in a test is a key still.
+        F.when(made_up, 0.0).otherwise(F.least(chosen(labels), F.lit(1.0))).alias("label"),
     )
 
 

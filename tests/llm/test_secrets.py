@@ -102,3 +102,11 @@ def test_secrets_are_told_from_lookalikes(documents):
 def test_no_python_in_the_plan(documents):
     plan = secrets.scan(documents((1, KEY)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_keys_are_secrets_whatever_the_path(documents):
+    sources = ["latest", "contest", "docs", "a/tests/b.py", None]
+    df = documents(*((k, f"aws {KEY} end", s) for k, s in enumerate(sources)))
+    assert [r["is_secret"] for r in secrets.scan(df).collect()] == [True] * 5
+    told = secrets.with_features(secrets.candidates(df)).orderBy("doc_id").collect()
+    assert [r["example_path"] for r in told] == [0, 0, 0, 1, 0]
