@@ -1,10 +1,15 @@
 """Secret scan with a random forest that removes false positives.
 
 Candidates are stretches that could be a key, token or password: twelve or more characters
-of an encoding alphabet with a letter and a digit among them, and values assigned to a name
-like ``password``. Each is described by its length, the changes of character class along it,
-the part of it that dictionary words cover, its path, and the words around it. A random
-forest trained on labelled findings gives the probability that a candidate is a secret.
+of an encoding alphabet with a letter and a digit among them; values of any length and
+characters assigned to a name like ``password``, with or without quotes and white space
+around the sign; and the password of a URL (``scheme://user:password@host``). Each is
+described by its length, the changes of character class along it, the part of it that
+dictionary words cover, its path, and the words around it. A random forest trained on
+labelled findings gives the probability that a candidate is a secret.
+
+A value ends at white space: of a quoted phrase the first word is the candidate. Short or
+letters-only values that are neither assigned nor in a URL are not candidates.
 
 The forest is trained by Spark ML on at most ``MAX_FINDINGS`` labelled findings, the first by
 a hash, and then written out as one SQL expression, so scanning is built-in expressions only.
@@ -37,13 +42,23 @@ _RUN = "[A-Za-z0-9+/_-]"
 # A run with a letter and a digit; only its first position is tried.
 _ENCODED = f"(?<!{_RUN})(?={_RUN}*[0-9])(?={_RUN}*[A-Za-z]){_RUN}{{12,}}={{0,2}}"
 _NAMES = "pass|password|passwd|pwd|secret|token|api_key|apikey|key"
-_VALUE = "[^\\s\"',;]{6,}"
-_IN_TEXT = f"(?i)(?:{_NAMES})[\"']?[=:][\"']?{_VALUE}|{_ENCODED}"
-_IN_WORD = f"(?i)(?<=(?:{_NAMES})[\"']?[=:][\"']?){_VALUE}|{_ENCODED}"
+_ASSIGN = f"(?:{_NAMES})[\"']?\\]?\\s*+[=:]{{1,3}}+>?+\\s*+(?:[\"'](?=[^\\s\"'])|(?=[^\\s\"',;]))"
+_LOGIN = "://[^\\s/:@]*+:(?=[^\\s/]+@)"
+_IN_TEXT = f"(?i){_ASSIGN}|{_LOGIN}|{_ENCODED}"
+# Put before an assigned value and before a URL's password; Unicode keeps both out of texts.
+_MARK, _URL_MARK = "\ufdd0", "\ufdd1"
+_IN_WORD = (
+    f"(?i)(?<={_URL_MARK})[^\\s/]+(?=@)"
+    # A URL with a password is not a value itself.
+    f"|(?<={_MARK})(?![^\\s\"',;]*{_URL_MARK})"
+    f"(?:(?<=\"{_MARK})[^\\s\"]+|(?<='{_MARK})[^\\s']+|(?<![\"']{_MARK})[^\\s\"',;]+)"
+    f"|{_ENCODED}"
+)
 
 # Words that speak for or against a secret nearby, paths that hold examples.
 _FOR = "pass|pwd|secret|token|key|auth|credential|bearer|private|login"
 _AGAINST = "commit|sha1|sha256|md5|checksum|digest|uuid|version|build|example|sample|dummy|path|page"
+_PASSWORDS = "password|passwd|pwd|secret"
 # Whole components of a path.
 _EXAMPLE_PATH = "(?:^|[/\\\\])(?:tests?|examples?|samples?|mocks?|fixtures?|doc)(?:$|[/\\\\])"
 # Dictionary words that identifiers, paths and placeholders are made of.
@@ -68,9 +83,21 @@ DICTIONARY = (
 FEATURES = (
     "length", "transitions", "case_changes", "digit_share", "upper_share", "distinct_share",
     "longest_repeat", "coverage", "example_path", "words_for", "words_against", "assigned",
+    "symbol_share", "named", "in_url",
 )
 
 
+def _marked(text: Column) -> Column:
+    """A text with a mark before each assigned value and each password of a URL."""
+    plain = F.translate(text, _MARK + _URL_MARK, "\ufffd\ufffd")
+    assigned = F.regexp_replace(plain, f"(?i){_ASSIGN}", f"$0{_MARK}")
+    return F.regexp_replace(assigned, f"{_LOGIN}", f"$0{_URL_MARK}")
+
+
+def _unmarked(text: Column) -> Column:
+    return F.translate(text, _MARK + _URL_MARK, "")
+
+
 def candidates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source"
 ) -> DataFrame:
@@ -82,11 +109,12 @@ def candidates(
             before = F.concat_ws(
                 " ", F.get(words, place - 2), F.get(words, place - 1), word
             )
+            after = F.coalesce(F.get(words, place + 1), F.lit(""))
             return F.transform(
                 F.regexp_extract_all(word, F.lit(_IN_WORD), F.lit(0)),
                 lambda found: F.struct(
-                    place.alias("place"), found.alias("candidate"), before.alias("before"),
-                    F.coalesce(F.get(words, place + 1), F.lit("")).alias("after"),
+                    place.alias("place"), _unmarked(found).alias("candidate"),
+                    _unmarked(before).alias("before"), _unmarked(after).alias("after"),
                 ),
             )
 
@@ -99,7 +127,7 @@ def candidates(
     found = with_any.select(
         F.col(doc_id).alias("doc_id"),
         F.col(path).cast("string").alias("path"),
-        F.explode(let(words_of(F.col(text)), of_words)).alias("__found"),
+        F.explode(let(words_of(_marked(F.col(text))), of_words)).alias("__found"),
     )
     return found.select("doc_id", "path", "__found.*")
 
@@ -123,7 +151,9 @@ def with_features(found: DataFrame) -> DataFrame:
     around = F.concat_ws(" ", F.col("before"), F.col("after"))
     # The candidate itself is not one of the words around it.
     around = F.replace(around, value, F.lit(" "))
-    assigned = F.replace(F.col("before"), value, F.lit("")).rlike("[=:][ \"']*$")
+    # What stands before the candidate's last place in its word.
+    rest = F.length(F.call_function("substring_index", F.col("before"), value, F.lit(-1)))
+    lead = F.left("before", F.length("before") - rest - n)
     columns = {
         "length": n,
         "transitions": share(change),
@@ -136,7 +166,10 @@ def with_features(found: DataFrame) -> DataFrame:
         "example_path": F.coalesce(F.lower("path").rlike(_EXAMPLE_PATH), F.lit(False)),
         "words_for": _hits(around, _FOR),
         "words_against": _hits(around, _AGAINST),
-        "assigned": assigned,
+        "assigned": lead.rlike("[=:]>?[ \"']*$"),
+        "symbol_share": share("[^A-Za-z0-9]"),
+        "named": lead.rlike(f"(?i)(?:{_PASSWORDS})[\"']?\\]? *[=:]{{1,3}}>? *[\"']?$"),
+        "in_url": lead.rlike("://[^ /:@]*:$"),
     }
     return found.withColumns({name: columns[name].cast("double") for name in FEATURES})
 
@@ -156,6 +189,12 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
             "other": F.expr("dictionary[conv(substr(hex, 5, 4), 16, 10) % size(dictionary)]"),
             "third": F.expr("dictionary[conv(substr(hex, 9, 4), 16, 10) % size(dictionary)]"),
             "number": F.expr("conv(substr(hex, 13, 3), 16, 10)"),
+            "letters": F.translate(F.substring("hex", 60, 30), "0123456789", "ghijklmnop"),
+            "mixed": F.expr("concat(upper(substr(hex, 70, 1)), translate(substr(hex, 71, 3 + id % 5), "
+                            "'0123', 'rstu'), substr('!$%^&*#?', 1 + id % 8, 1), substr(hex, 80, 1 + id % 3))"),
+            "named": F.expr("element_at(array('password', 'pwd', 'secret', 'db_password', 'passwd'), "
+                            "1 + CAST(conv(substr(hex, 30, 4), 16, 10) % 5 AS INT))"),
+            "sign": F.expr("IF(substr(hex, 34, 1) < '8', '=', ':')"),
             "turn": F.expr("conv(substr(hex, 16, 4), 16, 10) % 1000"),
         }
     )
@@ -168,6 +207,29 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
         (1, "substr(key, 1, 40)", "word", "'secret_key:'", "{}"),
         (1, "concat('ghp_', substr(translate(key, '+/', 'xy'), 1, 36))", "word", "other", "{}"),
         (1, "substr(translate(key, '+/', 'xy'), 1, 20 + id % 12)", "other", "word", "api_key={}"),
+        (2, "mixed", "word", "concat(named, ':')", "{}"),
+        (2, "mixed", "named", "sign", "{}"),
+        (2, "mixed", "named", "sign", "\"{}\""),
+        (2, "mixed", "other", "word", "pwd={}"),
+        (2, "concat_ws('-', substr(letters, 1, 4 + id % 4), substr(letters, 9, 5), substr(letters, 15, 7))",
+            "named", "sign", "\"{}\""),
+        (2, "substr(letters, 1, 7 + id % 14)", "named", "sign", "\"{}\""),
+        (2, "substr(letters, 1, 7 + id % 14)", "other", "concat(named, ':')", "{}"),
+        (2, "mixed", "word", "other", "postgres://admin:{}@db.host/data"),
+        (2, "substr(letters, 1, 6 + id % 14)", "word", "other", "https://user:{}@host/path"),
+        (0, "word", "named", "sign", "{}"),
+        (0, "concat(word, other)", "other", "concat(named, ':')", "{}"),
+        (0, "concat('$', '{', word, '}')", "named", "sign", "\"{}\""),
+        (0, "concat('your_', named)", "named", "sign", "\"{}\""),
+        (0, "'********'", "other", "concat(named, ':')", "{}"),
+        (0, "concat(word, '.', other, '(', ')')", "named", "sign", "{}"),
+        (0, "substr(letters, 1, 1 + id % 12)", "word", "'key:'", "{}"),
+        (0, "substr(letters, 1, 5 + id % 8)", "other", "'key:'", "{}"),
+        (0, "substr(letters, 1, 5 + id % 8)", "'token'", "sign", "{}"),
+        (0, "substr(letters, 1, 5 + id % 8)", "word", "'pass:'", "{}"),
+        (0, "number", "'token'", "sign", "{}"),
+        (0, "substr(letters, 1, 1 + id % 3)", "named", "sign", "{}"),
+        (0, "word", "other", "third", "https://user:{}@host/path"),
         (0, "concat(word, number, '-', other, '-', third)", "word", "third", "{}"),
         (0, "substr(hex, 20, 40)", "word", "'commit'", "{}"),
         (0, "concat_ws('-', substr(hex, 1, 8), substr(hex, 9, 4), substr(hex, 13, 4), "

@@ -104,6 +104,32 @@ def test_no_python_in_the_plan(documents):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_assignments_with_white_space_and_url_passwords_are_candidates(documents):
+    texts = {
+        "password: S3cr3t!pw": (1, "S3cr3t!pw"), "pwd = hunter2!": (2, "hunter2!"),
+        'secret = "correct-horse-battery"': (2, "correct-horse-battery"),
+        "a db_password :=\n\t'x;y,z1' b": (3, "x;y,z1"), '{"password" : "abc"}': (2, "abc"),
+        'config["secret"] = qwertz': (2, "qwertz"), "token=letmein": (0, "letmein"),
+        "see postgres://bob:p@ss@db:5432/x now": (1, "p@ss"), "redis://:Tr0ub4dor@h": (0, "Tr0ub4dor"),
+        "key = amqp://u:pw@h/v": (2, "pw"), "pwd = a﷐b": (2, "a�b"),
+    }
+    df = documents(*enumerate(texts))
+    rows = secrets.candidates(df).collect()
+    got = {r["doc_id"]: (r["place"], r["candidate"]) for r in rows}
+    assert len(rows) == len(texts) and got == dict(enumerate(texts.values()))
+    assert not [r for r in rows if set("﷐﷑") & set(r["before"] + r["after"])]
+
+
+def test_passwords_in_assignments_and_urls_are_secrets(documents):
+    good = [
+        "password: S3cr3t!pw", "pwd = hunter2!", 'secret = "correct-horse-battery"',
+        "postgres://bob:hunter2!@db:5432/x",
+    ]
+    bad = ['password = "your_password"', "secret: null", "the key: remember", "password: ********"]
+    got = {r["doc_id"]: r for r in secrets.scan(documents(*enumerate(good + bad))).collect()}
+    assert [got[k]["is_secret"] for k in range(len(good + bad))] == [True] * 4 + [False] * 4
+
+
 def test_keys_are_secrets_whatever_the_path(documents):
     sources = ["latest", "contest", "docs", "a/tests/b.py", None]
     df = documents(*((k, f"aws {KEY} end", s) for k, s in enumerate(sources)))
