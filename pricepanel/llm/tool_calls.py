@@ -17,7 +17,10 @@ or ``cyclic`` (it depends on itself in a circle). Results without a call are kep
 their own with status ``orphan_result``, and other messages have status ``message``.
 
 Edge cases: if an id has several results the one of the first turn counts, and of several
-calls with one id each gets it. Dependencies on ids that do not exist are ignored. Null texts
+calls with one id each gets it. Dependencies on ids that do not exist are ignored. A null id
+does not exist: nothing depends on it, and calls and results without an id belong to no other
+event; such a call still comes after what it depends on. A null turn lies before all others
+of its conversation. Null texts
 are null in the JSON. Events without a conversation share one. Empty tables give an empty
 result. Other columns are not touched.
 """
@@ -143,11 +146,13 @@ def _checked(linked: DataFrame) -> DataFrame:
 
 def link_results(calls: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls with their result, and results whose call does not exist."""
-    first = results.groupBy(*_KEYS).agg(F.min(F.struct("turn", "content")).alias("first"))
+    named = results.where("call_id IS NOT NULL")
+    first = named.groupBy(*_KEYS).agg(F.min(F.struct("turn", "content")).alias("first"))
     told = first.select(*_KEYS, F.col("first.content").alias("result"), F.lit(True).alias("found"))
     linked = null_safe_join(calls, told, _KEYS, "left")
     linked = linked.withColumn("has_result", F.coalesce("found", F.lit(False))).drop("found")
-    orphans = null_safe_join(results, calls.select(*_KEYS).distinct(), _KEYS, "left_anti")
+    orphans = null_safe_join(results, calls.select(*_KEYS).where("call_id IS NOT NULL").distinct(),
+                             _KEYS, "left_anti")
     return linked, orphans
 
 
@@ -155,7 +160,11 @@ def _settled_one_by_one(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Pairs (turn, step) of whole conversations, each sorted by itself; null step in a cycle."""
 
     def settle(own: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
-        place = {i: (int(t), 0) for i, t in zip(own["call_id"], own["at"], strict=True)}
+        # A null turn comes as NaN and lies before all others.
+        place = {
+            i: (-math.inf if pd.isna(t) else int(t), 0)
+            for i, t in zip(own["call_id"], own["at"], strict=True)
+        }
         after: dict[str, list[str]] = {}
         waiting = dict.fromkeys(place, 0)
         for child, parent in zip(links["call_id"], links["parent"], strict=True):
@@ -174,23 +183,34 @@ def _settled_one_by_one(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             {
                 "conv_id": own["conv_id"],
                 "call_id": own["call_id"],
-                "at": [place[i][0] for i in own["call_id"]],
+                "at": [None if (t := place[i][0]) == -math.inf else t for i in own["call_id"]],
                 "step": [None if i in cyclic else place[i][1] for i in own["call_id"]],
             }
-        ).astype({"step": "Int64"})
+        ).astype({"at": "Int64", "step": "Int64"})
 
     return nodes.groupBy("conv_id").cogroup(edges.groupBy("conv_id")).applyInPandas(
         settle, "conv_id long, call_id string, at long, step long"
     )
 
 
+def _identified(calls: DataFrame) -> DataFrame:
+    """Calls without an id get one by turn and dependencies, which no dependency names."""
+    made = F.concat(F.lit("\0"), F.to_json(F.struct("turn", "depends_on")))
+    return calls.withColumn("call_id", F.coalesce("call_id", made))
+
+
 def topological_places(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """conv_id, call_id and the pair (at, step) each call is ordered by; null step in a cycle."""
+    """conv_id, call_id and the pair (at, step) each call is ordered by; null step in a cycle.
+
+    Calls without an id go by a made one, see ``_identified``.
+    """
+    calls = _identified(calls)
     nodes = calls.groupBy(*_KEYS).agg(F.min("turn").alias("at")).withColumn(
         "step", F.lit(0).cast("long")
     )
     nodes = written(nodes, "places")
     links = calls.select(*_KEYS, F.explode("depends_on").alias("parent")).distinct()
+    links = links.where("parent IS NOT NULL")
     known = nodes.select("conv_id", F.col("call_id").alias("parent"))
     edges = written(null_safe_join(links, known, ["conv_id", "parent"], "left_semi"), "edges")
 
@@ -231,7 +251,8 @@ def format_chats(
     """One row per event: conversation, place in it, call id, status, errors and JSON."""
     linked, orphans = link_results(calls, results)
     with_schema = lookup_join(linked, materialize(schemas), ["name"])
-    placed = null_safe_join(_checked(with_schema), topological_places(calls), _KEYS, "left")
+    checked = _checked(with_schema).withColumn("__id", F.col("call_id"))
+    placed = null_safe_join(_identified(checked), topological_places(calls), _KEYS, "left")
     cyclic = F.col("step").isNull()
     no_errors = F.array().cast("array<string>")
 
@@ -240,8 +261,8 @@ def format_chats(
         return F.expr(f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))")
 
     events = placed.select(
-        "conv_id", "call_id", "at", F.coalesce("step", F.lit(0)).alias("step"), "turn",
-        F.when(cyclic, "cyclic").otherwise(F.col("__checked.status")).alias("status"),
+        "conv_id", F.col("__id").alias("call_id"), "at",
+        F.coalesce("step", F.lit(0)).alias("step"), "turn", F.when(cyclic, "cyclic").otherwise(F.col("__checked.status")).alias("status"),
         F.col("__checked.errors").alias("errors"), F.col("__checked.json").alias("json"),
     ).unionByName(
         orphans.select(

@@ -138,3 +138,27 @@ def test_schema_rules():
     assert tc.violations("s", schema) == ["$: not of type array/null"]
     assert tc.violations(True, {"type": "integer"}) == ["$: not of type integer"]
     assert tc.violations(3.0, {"type": "integer", "minimum": 4}) == ["$: value below 4"]
+
+
+def test_null_turns_and_null_ids(spark, chats):
+    turns = [(1, None, "user", "when?"), (1, None, "assistant", "now"), (1, 1, "user", "hi"),
+             (None, None, "user", "x"), (1, 2, "assistant", "ho")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    tools = spark.createDataFrame([("answer", json.dumps(tc.ANSWER_SCHEMA))], tc.SCHEMAS)
+    rows = tc.format_chats(*tc.events_of_turns(df), tools).collect()
+    got = sorted((str(r["conv_id"]), r["place"], str(r["turn"]), r["status"]) for r in rows)
+    assert got == [
+        ("1", 0, "None", "invalid_arguments"), ("1", 1, "None", "orphan_result"), ("1", 2, "1", "ok"),
+        ("None", 0, "None", "invalid_arguments"),
+    ]
+    calls = [(1, None, 1, "find", '{"q":"x"}', ["a"]), (1, None, 9, "find", '{"q":"y"}', [None]),
+             (1, "a", 5, "find", '{"q":"z"}', [None])]
+    rows = chats(calls).orderBy("place").collect()
+    assert [(r["call_id"], r["turn"]) for r in rows] == [("a", 5), (None, 1), (None, 9)]
+
+
+def test_a_null_turn_beside_a_circle(spark):
+    calls = [(1, "a", None, "find", "{}", ["b"]), (1, "b", 2, "find", "{}", ["a"]),
+             (1, "c", None, "find", "{}", [])]
+    rows = tc.topological_places(spark.createDataFrame(calls, tc.CALL), 1).collect()
+    assert {r["call_id"]: r["at"] for r in rows} == {"a": None, "b": 2, "c": None}
