@@ -9,11 +9,16 @@ Nothing gathers a conversation in one task. The order is a pair (turn, step) per
 call that depends on a later one takes over its turn and comes a step after it. These pairs
 are relaxed along the dependencies by joins until none is violated, in rounds as many as the
 longest chain of dependencies against the order of turns. Conversations that are not settled
-after ``MAX_ROUNDS`` are sorted one by one, which also finds cycles. Places in a conversation
-come from one order over all events.
+after ``MAX_ROUNDS`` are settled from their first calls on: each round, by joins on the call,
+calls whose parents are all settled are settled, and links to a call with a single open
+parent are passed on to that parent, so that chains halve. What is left lies in or behind a
+circle. Peeled from the last calls too, it is what lies in circles or between two; tangles
+are told apart by the greatest ancestor of each call, in rounds as many as the longest path
+in them. Places in a conversation come from one order over all events.
 
 Each call has a status: ``ok``, ``invalid_arguments``, ``unknown_tool``, ``missing_result``
-or ``cyclic`` (it depends on itself in a circle). Results without a call are kept as events of
+or ``cyclic`` (it depends on itself in a circle; calls that only come after one are not
+cyclic). Calls of one circle go by turn, and after what they depend on outside of it. Results without a call are kept as events of
 their own with status ``orphan_result``, and other messages have status ``message``.
 
 Edge cases: if an id has several results the one of the first turn counts, and of several
@@ -29,7 +34,6 @@ from __future__ import annotations
 
 import json
 import math
-from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,6 +49,8 @@ RESULT = "conv_id long, call_id string, turn long, content string"
 MESSAGE = "conv_id long, turn long, role string, content string"
 SCHEMAS = "name string, schema string"
 _KEYS = ["conv_id", "call_id"]
+# More steps than any chain has; keeps the steps around a circle from growing on.
+_FAR = 1 << 40
 
 
 def canonical(value) -> str:
@@ -156,40 +162,135 @@ def link_results(calls: DataFrame, results: DataFrame) -> tuple[DataFrame, DataF
     return linked, orphans
 
 
-def _settled_one_by_one(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs (turn, step) of whole conversations, each sorted by itself; null step in a cycle."""
-
-    def settle(own: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
-        # A null turn comes as NaN and lies before all others.
-        place = {
-            i: (-math.inf if pd.isna(t) else int(t), 0)
-            for i, t in zip(own["call_id"], own["at"], strict=True)
-        }
-        after: dict[str, list[str]] = {}
-        waiting = dict.fromkeys(place, 0)
-        for child, parent in zip(links["call_id"], links["parent"], strict=True):
-            after.setdefault(parent, []).append(child)
-            waiting[child] += 1
-        ready = deque(i for i, n in waiting.items() if n == 0)
-        while ready:
-            node = ready.popleft()
-            for child in after.get(node, ()):
-                place[child] = max(place[child], (place[node][0], place[node][1] + 1))
-                waiting[child] -= 1
-                if waiting[child] == 0:
-                    ready.append(child)
-        cyclic = {i for i, n in waiting.items() if n}
-        return pd.DataFrame(
-            {
-                "conv_id": own["conv_id"],
-                "call_id": own["call_id"],
-                "at": [None if (t := place[i][0]) == -math.inf else t for i in own["call_id"]],
-                "step": [None if i in cyclic else place[i][1] for i in own["call_id"]],
-            }
-        ).astype({"at": "Int64", "step": "Int64"})
-
-    return nodes.groupBy("conv_id").cogroup(edges.groupBy("conv_id")).applyInPandas(
-        settle, "conv_id long, call_id string, at long, step long"
+def _later(low: str, steps: Column) -> Column:
+    """The pair (at, step) some steps after another."""
+    step = F.least(F.col(f"{low}.step") + steps, F.lit(_FAR))
+    return F.struct(F.col(f"{low}.at").alias("at"), step.alias("step"))
+
+
+def _peeled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes with ``low``, their pair (at, step) after all they depend on, and ``open``.
+
+    ``nodes`` have conv_id, call_id and low, ``edges`` conv_id, call_id and parent. Nodes in
+    or behind a circle stay open: they have that many links left that lead to none settled.
+    """
+    edges = edges.withColumn("steps", F.lit(1).cast("long"))
+    before = None
+    while True:
+        ways = edges.groupBy(*_KEYS).agg(
+            F.count(F.lit(1)).alias("open"), F.min(F.struct("parent", "steps")).alias("way")
+        )
+        state = materialize(
+            null_safe_join(nodes.select(*_KEYS, "low"), ways, _KEYS, "left")
+            .withColumn("open", F.coalesce("open", F.lit(0)))
+        )
+        left = state.df.where("open > 0").count()
+        # As long as a node off all circles is open, one of those has settled parents only.
+        if left in (0, before):
+            return state.df.drop("way")
+        before = left
+        parents = state.derive(state.df.select(
+            "conv_id", F.col("call_id").alias("parent"), F.col("low").alias("from"),
+            F.col("open").alias("beyond"), "way",
+        ))
+        met = lookup_join(edges, parents, ["conv_id", "parent"], "inner")
+        gains = met.where("beyond <= 1").groupBy(*_KEYS).agg(
+            F.max(_later("from", F.col("steps"))).alias("gain")
+        )
+        single = F.col("beyond") == 1
+        steps = F.when(single, F.col("steps") + F.col("way.steps")).otherwise(F.col("steps"))
+        passed = met.where("beyond > 0").select(
+            *_KEYS, F.when(single, F.col("way.parent")).otherwise(F.col("parent")).alias("parent"),
+            F.least(steps, F.lit(_FAR)).alias("steps"),
+        )
+        nodes = null_safe_join(state.df, gains, _KEYS, "left").withColumn(
+            "low", F.greatest("low", "gain")
+        )
+        edges = materialize(passed.groupBy(*_KEYS, "parent").agg(F.max("steps").alias("steps"))).df
+
+
+def _within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with both ends among the nodes."""
+    ends = materialize(nodes.select(*_KEYS))
+    parents = ends.derive(ends.df.withColumnRenamed("call_id", "parent"))
+    return lookup_join(
+        lookup_join(edges, ends, _KEYS, "left_semi"), parents, ["conv_id", "parent"], "left_semi"
+    )
+
+
+def _turned(edges: DataFrame) -> DataFrame:
+    return edges.select("conv_id", F.col("parent").alias("call_id"), F.col("call_id").alias("parent"))
+
+
+def _spread(values: DataFrame, edges: DataFrame) -> DataFrame:
+    """Each node's greatest ``value`` over itself and all that it depends on."""
+    values = materialize(values)
+    while True:
+        parents = values.derive(values.df.select(
+            "conv_id", F.col("call_id").alias("parent"), F.col("value").alias("above")
+        ))
+        above = lookup_join(edges, parents, ["conv_id", "parent"], "inner")
+        above = above.groupBy(*_KEYS).agg(F.max("above").alias("above"))
+        values = materialize(
+            null_safe_join(values.df, above, _KEYS, "left").select(
+                *_KEYS, F.greatest("value", "above").alias("value"),
+                F.coalesce(F.col("above") > F.col("value"), F.lit(False)).alias("moved"),
+            )
+        )
+        if values.df.where("moved").isEmpty():
+            return values.df.drop("moved")
+        values = values.derive(values.df.drop("moved"))
+
+
+def _with_ends(edges: DataFrame, values: DataFrame) -> DataFrame:
+    """Edges with the values ``of_call`` and ``of_parent`` of their ends."""
+    table = materialize(values.select(*_KEYS, F.col("value").alias("of_call")))
+    parents = table.derive(table.df.withColumnsRenamed({"call_id": "parent", "of_call": "of_parent"}))
+    return lookup_join(
+        lookup_join(edges, table, _KEYS, "inner"), parents, ["conv_id", "parent"], "inner"
+    )
+
+
+def _circles(core: DataFrame) -> DataFrame:
+    """Edges on a circle, of edges whose ends all have parents and children among them."""
+
+    def forked(ends: DataFrame) -> DataFrame:
+        return ends.groupBy(*_KEYS).count().where("count > 1").select("conv_id")
+
+    # Without a fork every call of a conversation lies on a circle of its own.
+    tangled = materialize(forked(core).unionByName(forked(_turned(core))).distinct())
+    found = lookup_join(core, tangled, ["conv_id"], "left_anti")
+    rest = materialize(lookup_join(core, tangled, ["conv_id"], "left_semi")).df
+    while not rest.isEmpty():
+        calls = rest.select(*_KEYS).union(rest.select("conv_id", "parent")).distinct()
+        greatest = materialize(_spread(calls.withColumn("value", F.col("call_id")), rest)).df
+        # A circle has the same greatest ancestor all along, and it leads back to that one.
+        same = materialize(
+            _with_ends(rest, greatest).where("of_call = of_parent").select(*_KEYS, "parent")
+        ).df
+        back = _spread(
+            greatest.select(*_KEYS, (F.col("value") == F.col("call_id")).alias("value")), _turned(same)
+        )
+        known = materialize(_with_ends(same, back)).df
+        found = found.unionByName(known.where("of_call AND of_parent").select(*_KEYS, "parent"))
+        rest = known.where("NOT of_call AND NOT of_parent").select(*_KEYS, "parent")
+    return found
+
+
+def _settled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs (at, step) of all nodes, and whether they are on a circle."""
+    first = _peeled(nodes, edges)
+    behind = first.where("open > 0")
+    if behind.isEmpty():
+        return first.select(*_KEYS, "low.*", F.lit(False).alias("cyclic"))
+    left = materialize(_within(edges, behind)).df
+    core = _within(left, _peeled(behind, _turned(left)).where("open > 0"))
+    circles = materialize(_circles(materialize(core).df)).df
+    # Without the links of circles all calls can be settled.
+    free = null_safe_join(edges, circles, [*_KEYS, "parent"], "left_anti")
+    cyclic = circles.select(*_KEYS).distinct().withColumn("cyclic", F.lit(True))
+    return lookup_join(_peeled(nodes, free), materialize(cyclic), _KEYS).select(
+        *_KEYS, "low.*", F.coalesce("cyclic", F.lit(False)).alias("cyclic")
     )
 
 
@@ -200,7 +301,7 @@ def _identified(calls: DataFrame) -> DataFrame:
 
 
 def topological_places(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """conv_id, call_id and the pair (at, step) each call is ordered by; null step in a cycle.
+    """conv_id, call_id, the pair (at, step) each call is ordered by, and whether it is cyclic.
 
     Calls without an id go by a made one, see ``_identified``.
     """
@@ -226,7 +327,7 @@ def topological_places(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFr
     for _ in range(max_rounds):
         moved = materialize(moves(nodes))
         if moved.df.isEmpty():
-            return nodes
+            return nodes.withColumn("cyclic", F.lit(False))
         nodes = written(
             lookup_join(nodes, moved, _KEYS).select(
                 *_KEYS,
@@ -236,13 +337,15 @@ def topological_places(calls: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFr
             "places",
         )
     open_ones = materialize(moves(nodes).select("conv_id").distinct())
-    start = calls.groupBy(*_KEYS).agg(F.min("turn").alias("at"))
-    settled = _settled_one_by_one(
-        lookup_join(start, open_ones, ["conv_id"], "left_semi"),
-        lookup_join(edges, open_ones, ["conv_id"], "left_semi"),
+    start = calls.groupBy(*_KEYS).agg(
+        F.struct(F.min("turn").alias("at"), F.lit(0).cast("long").alias("step")).alias("low")
+    )
+    settled = _settled(
+        materialize(lookup_join(start, open_ones, ["conv_id"], "left_semi")).df,
+        materialize(lookup_join(edges, open_ones, ["conv_id"], "left_semi")).df,
     )
     rest = lookup_join(nodes, open_ones, ["conv_id"], "left_anti")
-    return written(rest.unionByName(settled), "places")
+    return written(rest.withColumn("cyclic", F.lit(False)).unionByName(settled), "places")
 
 
 def format_chats(
@@ -253,7 +356,6 @@ def format_chats(
     with_schema = lookup_join(linked, materialize(schemas), ["name"])
     checked = _checked(with_schema).withColumn("__id", F.col("call_id"))
     placed = null_safe_join(_identified(checked), topological_places(calls), _KEYS, "left")
-    cyclic = F.col("step").isNull()
     no_errors = F.array().cast("array<string>")
 
     def line(**fields: str) -> Column:
@@ -261,8 +363,8 @@ def format_chats(
         return F.expr(f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))")
 
     events = placed.select(
-        "conv_id", F.col("__id").alias("call_id"), "at",
-        F.coalesce("step", F.lit(0)).alias("step"), "turn", F.when(cyclic, "cyclic").otherwise(F.col("__checked.status")).alias("status"),
+        "conv_id", F.col("__id").alias("call_id"), "at", "step", "turn",
+        F.when(F.col("cyclic"), "cyclic").otherwise(F.col("__checked.status")).alias("status"),
         F.col("__checked.errors").alias("errors"), F.col("__checked.json").alias("json"),
     ).unionByName(
         orphans.select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -162,3 +163,46 @@ def test_a_null_turn_beside_a_circle(spark):
              (1, "c", None, "find", "{}", [])]
     rows = tc.topological_places(spark.createDataFrame(calls, tc.CALL), 1).collect()
     assert {r["call_id"]: r["at"] for r in rows} == {"a": None, "b": 2, "c": None}
+
+
+def plain_places(calls):
+    """Pair and circle of each call, by reachability and the longest way."""
+    turn, after = {}, {}
+    for conv, call, at, _, _, deps in calls:
+        turn[conv, call] = min(at, turn.get((conv, call), at), key=lambda t: (t is not None, t))
+        after.setdefault((conv, call), set()).update((conv, d) for d in deps)
+    after = {k: {d for d in deps if d in turn} for k, deps in after.items()}
+
+    def reached(start):
+        seen, todo = set(), list(after[start])
+        while todo:
+            if (node := todo.pop()) not in seen:
+                seen.add(node)
+                todo += after[node]
+        return seen
+
+    above = {k: reached(k) for k in turn}
+    place = {}
+    for k in sorted(turn, key=lambda k: len(above[k] - {x for x in above[k] if k in above[x]})):
+        free = [place[d] for d in after[k] if k not in above[d]]
+        own = (turn[k], 0)
+        place[k] = max([own, *((at, step + 1) for at, step in free)],
+                       key=lambda p: (p[0] is not None, p))
+    return {k: (*place[k], k in above[k]) for k in turn}
+
+
+def test_circles_match_a_plain_version(spark):
+    # A circle before and one behind a call, and a long chain against the order of turns.
+    links = {"a": ["b"], "b": ["a"], "x": ["b"], "p": ["x", "q"], "q": ["p"], "y": ["p"], "z": ["z"]}
+    calls = [(99, k, t, "find", "{}", deps) for t, (k, deps) in enumerate(links.items())]
+    calls += [(98, f"c{k}", 20 - k, "find", "{}", [f"c{k - 1}"]) for k in range(20)]
+    calls += [(97, f"c{k}", k, "find", "{}", [f"c{(k + 1) % 5}"]) for k in range(5)]
+    rows = tc.topological_places(spark.createDataFrame(calls, tc.CALL), 1).collect()
+    got = {(r["conv_id"], r["call_id"]): (r["at"], r["step"], r["cyclic"]) for r in rows}
+    wanted = plain_places(calls)
+    assert len(rows) == len(wanted) and got == wanted
+    assert not wanted[99, "x"][2] and wanted[99, "p"][2] and not wanted[99, "y"][2]
+
+
+def test_no_conversation_is_gathered_in_python():
+    assert "applyInPandas" not in Path(tc.__file__).read_text()
