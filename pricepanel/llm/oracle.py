@@ -169,15 +169,19 @@ def _crc_steps() -> list[int]:
     return steps
 
 
-# The checksum takes the low half of a byte first.
-_HALVES = (
-    "list_transform(string_split(regexp_replace(hex(encode(coalesce(text, ''))), "
-    "'(.)(.)', '\\2\\1', 'g'), ''), lambda c: instr('0123456789ABCDEF', c) - 1)"
-)
-_CRC = (
-    f"CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(4294967295, list_reduce({_HALVES}, "
-    f"lambda c, h: xor(c >> 4, {_crc_steps()}[1 + (xor(c, h) & 15)]), 4294967295::BIGINT)) END"
-)
+def _crc_of(text: str) -> str:
+    """The checksum of a text, which takes the low half of a byte first."""
+    halves = (
+        f"list_transform(string_split(regexp_replace(hex(encode({text})), '(.)(.)', '\\2\\1', 'g'), "
+        "''), lambda c: instr('0123456789ABCDEF', c) - 1)"
+    )
+    return (
+        f"CASE WHEN {text} = '' THEN 0 ELSE xor(4294967295, list_reduce({halves}, lambda c, h: "
+        f"xor(c >> 4, {_crc_steps()}[1 + (xor(c, h) & 15)]), 4294967295::BIGINT)) END"
+    )
+
+
+_CRC = _crc_of("coalesce(text, '')")
 
 # Place of every row of ``documents_in``, as ``sharded``.
 _SHARDED = f"""
@@ -204,6 +208,164 @@ SELECT doc_id, shard_size AS size, CAST({_CRC} AS BIGINT) AS text_crc32, 'rows'
        CAST(NULL AS INTEGER) AS grown_shard
 FROM sharded"""
 
+def _leaf(text: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    told = (f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields)
+    return f"sha256({' || '.join(told)})"
+
+
+MERKLE = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc_of("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf(_lower("text"))}
+              ELSE {_leaf("text")} END AS found
+  FROM documents),
+ranked AS (SELECT row_number() OVER () AS rid, *,
+                  dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+                  count(*) OVER (PARTITION BY source) AS n FROM hashed),
+lower_tree AS (SELECT 0 AS height, tree, rank, n, leaf AS digest FROM ranked
+          UNION ALL
+          SELECT height + 1, tree, rank // 16, any_value((n + 15) // 16),
+                 sha256(string_agg(digest, '' ORDER BY rank))
+          FROM lower_tree WHERE n > 1 GROUP BY height, tree, rank // 16),
+subroots AS (SELECT tree, digest AS subroot FROM lower_tree WHERE n = 1),
+upper_tree AS (SELECT 0 AS height, tree AS rank, (SELECT count(*) FROM subroots) AS n,
+                 subroot AS digest FROM subroots
+          UNION ALL
+          SELECT height + 1, rank // 16, any_value((n + 15) // 16),
+                 sha256(string_agg(digest, '' ORDER BY rank))
+          FROM upper_tree WHERE n > 1 GROUP BY height, rank // 16),
+nodes AS (SELECT 0 AS part, height, tree, rank, n, digest FROM lower_tree
+          UNION ALL SELECT 1, height, 0, rank, n, digest FROM upper_tree),
+beside AS (SELECT part, height, tree, rank, n,
+                  coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING
+                    AND 1 PRECEDING), '') AS l,
+                  coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING
+                    AND UNBOUNDED FOLLOWING), '') AS r
+           FROM nodes WINDOW run AS (PARTITION BY part, height, tree, rank // 16 ORDER BY rank)),
+folded AS (SELECT rid, tree AS own, 0 AS part, 0 AS height, tree, rank, n, found AS digest,
+                  '' AS proof FROM ranked
+           UNION ALL
+           SELECT rid, own,
+                  CASE WHEN f.n = 1 THEN 1 ELSE f.part END,
+                  CASE WHEN f.n = 1 THEN 0 ELSE f.height + 1 END,
+                  CASE WHEN f.n = 1 THEN 0 ELSE f.tree END,
+                  CASE WHEN f.n = 1 THEN own ELSE f.rank // 16 END,
+                  CASE WHEN f.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (f.n + 15) // 16 END,
+                  CASE WHEN f.n = 1 THEN digest ELSE sha256(l || digest || r) END,
+                  CASE WHEN f.n = 1 THEN proof ELSE proof || l || r END
+           FROM folded f JOIN beside b ON b.part = f.part AND b.height = f.height
+             AND b.tree = f.tree AND b.rank = f.rank
+           WHERE f.n > 1 OR f.part = 0),
+ends AS (SELECT rid, digest, proof FROM folded WHERE part = 1 AND n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, ends.digest AS folded_root,
+       ends.digest = root AS verified
+FROM ranked JOIN ends USING (rid) JOIN subroots USING (tree),
+     (SELECT digest AS root FROM upper_tree WHERE n = 1)"""
+
+EXACT_DEDUP = """
+WITH told AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+placed AS (SELECT *, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+                  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept
+           FROM told WINDOW same AS (PARTITION BY t))
+SELECT doc_id, keep_id, group_size, kept, sha256(t) AS text_sha256 FROM placed"""
+
+_NAME = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+_NEVER = 1000000
+
+
+def _kept(state: int) -> str:
+    """What keeping a row costs in a state, by its initial."""
+    ways = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})[state]
+    cases = " ".join(f"WHEN init = '{i}' THEN extra + v{to}" for i, to in ways.items())
+    return f"CASE WHEN fault IN (1, 2) THEN {_NEVER} {cases} ELSE {_NEVER} END"
+
+
+def _renamed(state: int) -> str:
+    return f"CASE WHEN fault IN (1, 2) THEN {_NEVER} ELSE extra + 1 + v{3 if state == 2 else 2} END"
+
+
+def _by_state(column: str) -> str:
+    return f"CASE q WHEN 0 THEN {column}0 WHEN 1 THEN {column}1 WHEN 2 THEN {column}2 ELSE {column}3 END"
+
+
+# What a step keeps costs and leads to, given the state ``q`` and the initial of the row.
+_KEEP_TO = "CASE WHEN init = 's' AND q = 0 THEN 1 WHEN init = 'u' AND q <> 2 THEN 2 " \
+    "WHEN init = 'a' AND q = 2 THEN 3 END"
+_FILL_TO = "CASE WHEN q = 2 THEN 3 ELSE 2 END"
+
+
+def _after(column: str, state: str) -> str:
+    return f"[{column}0, {column}1, {column}2, {column}3][1 + {state}]"
+
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE formed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc_of(_NAME)} % 20 AS form FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN form = 4 THEN 'user' ELSE role END AS role,
+              CASE form WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                        ELSE text END AS text
+            FROM formed, (SELECT unnest([1, 2]) AS copy) WHERE form <> 0 AND (copy = 1 OR form = 3)),
+names AS (SELECT conv_id, row_number() OVER () AS cid
+          FROM (SELECT DISTINCT conv_id FROM conversations)),
+placed AS (SELECT cid, turn, role, text, regexp_replace(text, '[ \t\n\x0B\f\r]+\z', '') AS ended,
+             row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+             count(*) OVER (PARTITION BY cid) AS n,
+             CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '-' END AS init
+           FROM damaged JOIN names ON damaged.conv_id IS NOT DISTINCT FROM names.conv_id),
+rows_in AS (SELECT *, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS extra,
+              coalesce(lag(init) OVER (PARTITION BY cid ORDER BY i) || init NOT IN ('su', 'ua', 'au'),
+                       false) AS illegal
+            FROM (SELECT *, CASE WHEN ended = '' THEN 1 WHEN nth > 1 THEN 2
+                              WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+                  FROM (SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY i) AS nth
+                        FROM placed))),
+counts AS (SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+             count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (illegal) AS illegal,
+             any_value(n) AS n FROM rows_in GROUP BY cid),
+back AS (SELECT cid, n + 1 AS i, 0 AS v0, 10 AS v1, 5 AS v2, 0 AS v3 FROM counts
+         UNION ALL
+         SELECT cid, i, least(e0, 5 + e2, 10 + e3), least(e1, 5 + e2, 10 + e3),
+                least(e2, 5 + e3), least(e3, 5 + e2)
+         FROM (SELECT back.cid, rows_in.i,
+                      least(2 + v0, {_kept(0)}, {_renamed(0)}) AS e0,
+                      least(2 + v1, {_kept(1)}, {_renamed(1)}) AS e1,
+                      least(2 + v2, {_kept(2)}, {_renamed(2)}) AS e2,
+                      least(2 + v3, {_kept(3)}, {_renamed(3)}) AS e3
+               FROM back JOIN rows_in ON rows_in.cid = back.cid AND rows_in.i = back.i - 1)),
+steps AS (SELECT rows_in.cid, rows_in.i, init, fault, extra, role, text,
+                 here.v0 AS h0, here.v1 AS h1, here.v2 AS h2, here.v3 AS h3,
+                 next.v0 AS a0, next.v1 AS a1, next.v2 AS a2, next.v3 AS a3
+          FROM rows_in JOIN back here ON here.cid = rows_in.cid AND here.i = rows_in.i
+          JOIN back next ON next.cid = rows_in.cid AND next.i = rows_in.i + 1),
+walk AS (SELECT cid, 1::BIGINT AS i, 0 AS q, n, '' AS audit, [] :: VARCHAR[] AS lines FROM counts
+         UNION ALL
+         SELECT cid, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+                CASE edit WHEN 'D' THEN q WHEN 'K' THEN {_KEEP_TO} ELSE {_FILL_TO} END, n,
+                audit || edit,
+                CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+                  ELSE list_append(lines, CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END
+                                          || CASE edit WHEN 'R' THEN text ELSE '' END) END
+         FROM (SELECT walk.*, init, role, text,
+                 CASE WHEN walk.i > n THEN 'I'
+                   WHEN 2 + {_by_state("a")} = {_by_state("h")} THEN 'D'
+                   WHEN 5 + {_after("h", _FILL_TO)} = {_by_state("h")} THEN 'I'
+                   WHEN fault IN (0, 3) AND extra + {_after("a", f"({_KEEP_TO})")} = {_by_state("h")}
+                     THEN 'K' ELSE 'R' END AS edit
+               FROM walk LEFT JOIN steps ON steps.cid = walk.cid AND steps.i = walk.i
+               WHERE walk.i <= n OR q IN (1, 2))),
+done AS (SELECT cid, audit, lines FROM walk WHERE i > n AND q IN (0, 3)),
+costs AS (SELECT cid, v0 AS cost FROM back WHERE i = 1)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM names LEFT JOIN counts USING (cid) LEFT JOIN done USING (cid) LEFT JOIN costs USING (cid)"""
+
 _COLUMNS = "doc_id, text, lang, source, n_chars"
 
 
@@ -233,4 +395,7 @@ def build() -> dict[str, str]:
         "op8_mixing": MIXING,
         "op9_sharding": SHARDING,
         "op10_quality_rules": QUALITY_RULES,
+        "op11_merkle_manifest": MERKLE,
+        "op12_exact_dedup": EXACT_DEDUP,
+        "op13_conversation_repair": CONVERSATION_REPAIR,
     }

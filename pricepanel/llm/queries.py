@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from pricepanel.llm import (
     content_extraction,
+    conversation_repair,
     decontamination,
+    exact_dedup,
     importance,
     jaccard_join,
+    merkle,
     mixing,
     oracle,
     quality_rules,
@@ -86,9 +89,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).drop("host_rejected")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
 _QUERIES = (
     op1_importance_resampling, op2_jaccard_join, op3_secret_scan, op4_warc, op5_content_extraction,
-    op6_decontamination, op7_tool_calls, op8_mixing, op9_sharding, op10_quality_rules,
+    op6_decontamination, op7_tool_calls, op8_mixing, op9_sharding, op10_quality_rules, op11_merkle_manifest,
+    op12_exact_dedup, op13_conversation_repair,
 )
 
 
