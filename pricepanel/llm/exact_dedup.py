@@ -211,17 +211,17 @@ def _compared(pieces: DataFrame) -> DataFrame:
     place = [*_KEY, "start", "list"]
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, text = None, b""
+        held, text = None, pa.py_buffer(b"")
         for batch in batches:
             kept, differs = [], []
             keys = zip(*(batch[name].to_pylist() for name in place), strict=True)
             for k, (key, chunk) in enumerate(zip(keys, batch["chunk"], strict=True)):
                 own = chunk.as_buffer()
                 if key != held:
-                    held, text = key, own.to_pybytes()
+                    held, text = key, pa.py_buffer(own.to_pybytes())
                     kept.append(k)
                     differs.append(False)
-                elif memoryview(own) != memoryview(text):
+                elif not own.equals(text):
                     kept.append(k)
                     differs.append(True)
             names = [*_KEY, "digest", "start", "task", "chunk"]
