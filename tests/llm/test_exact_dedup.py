@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from pricepanel.llm import exact_dedup as ed
+from pricepanel.llm import oracle
+from pricepanel.tables import BROADCAST_CONF
+
+from .conftest import by_name
+
+WEAK = ed.Polynomial(5, 2)  # five different fingerprints only
+
+
+def plain(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(text or "", []).append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        stays = ids.index(keep)
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, keep, len(ids), k == stays, sha) for k, i in enumerate(ids)]
+    return sorted(out, key=repr)
+
+
+def texts(n, seed=4):
+    rng = random.Random(seed)
+    some = [
+        "ab", "ba", "aa", "bb", "", None, "é", "x" * 200_000, "x" * 199_999 + "y",
+        "y" + "x" * 199_999, "z" * ed.CHUNK, "z" * (ed.CHUNK + 1), "\x00", "\x00\x00",
+    ]
+    rows = [(k, rng.choice(some)) for k in range(n)]
+    return [*rows, (None, "ab"), (5, "ab"), (5, "ab"), (None, "q"), (None, "q"), (n, "once")]
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"huge": 1000}, {"polynomial": WEAK}, {"polynomial": WEAK, "huge": 1, "fan_in": 2}],
+)
+@pytest.mark.parametrize("limit", [None, "-1"])
+def test_classes_match_a_plain_program(spark, documents, options, limit):
+    rows = texts(150)
+    df = documents(*rows, extra=("digest", "row", "label", "fingerprint")).repartition(6)
+    if limit:
+        spark.conf.set(BROADCAST_CONF, limit)
+    try:
+        got = sorted(map(tuple, ed.deduplicate(df, **options).collect()), key=repr)
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    assert got == plain(rows)
+
+
+def test_classes_match_sql(documents, as_sql):
+    df = documents(*texts(80))
+    assert by_name(ed.deduplicate(df)) == as_sql(oracle.EXACT_DEDUP, documents=df)
+
+
+def test_empty_table_and_all_different(documents):
+    df = documents((1, "a"), (2, "b"))
+    assert ed.deduplicate(df.where("false")).count() == 0
+    assert all(r["kept"] and r["group_size"] == 1 for r in ed.deduplicate(df).collect())
+
+
+@given(st.binary(max_size=300), st.binary(max_size=300))
+def test_fingerprints_compose(before, after):
+    whole = ed.FIELD.joined(ed.FIELD.of(before), ed.FIELD.of(after), len(after))
+    assert whole == ed.FIELD.of(before + after)
+
+
+def test_fingerprints_are_the_polynomial():
+    rng = random.Random(1)
+    for n in (0, 1, 7, 5000):
+        text = rng.randbytes(n)
+        value = 0
+        for byte in text:
+            value = (value * ed.FIELD.base + byte + 1) % ed.FIELD.modulus
+        assert ed.FIELD.of(text) == value
+
+
+def test_texts_dealt_in_chunks_have_the_same_fingerprint(documents):
+    rng = random.Random(2)
+    rows = [(k, "".join(rng.choices("abé\n", k=n))) for k, n in enumerate((70_000, 400_000, 131_072))]
+    dealt = ed.dealt_fingerprints(documents(*rows, rows[0]), "text", huge=1000).collect()
+    wanted = {hashlib.sha256(t.encode()).hexdigest(): ed.FIELD.of(t.encode()) for _, t in rows}
+    assert {r["digest"]: r["fingerprint"] for r in dealt} == wanted
+
+
+def test_a_task_hands_on_one_text_of_a_group(documents):
+    """However many copies a task has read, and if its memory holds them."""
+    df = documents(*((k, "same text") for k in range(500))).repartition(3)
+    hashed = ed.fingerprints(df, "text").selectExpr(
+        "fingerprint", "n_bytes", "'' AS label", "sha2(text, 256) AS digest",
+        "CAST(text AS BINARY) AS bytes",
+    )
+    assert ed._one_a_task(hashed).count() == 3
+    assert ed.differing(hashed).isEmpty()
