@@ -2,15 +2,19 @@
 
 Every node of the DOM, elements and texts, is a variable with two states, content or not.
 Two kinds of potentials connect them. One links a child to its parent: how likely a node of
-its kind has the state it has, given the parent's. The other links a node to what can be
-seen of it: names in class and id, and the length of a link's text. Both are smoothed
-relative frequencies over labelled pages. The DOM is a tree, so passing messages
-once upward and once downward (sum-product) gives exact marginals, and the text is what has
-a marginal of a half or more.
+its kind has the state it has, given the parent's; an element without names is of another kind
+than one with, and so is one right below an element that is named as content. The other links a node to what can be seen of it: names in class and id, the
+length of a link's text, and of elements that hold others the share of links in their text and
+their share of the page's text. Both are smoothed relative frequencies over labelled pages. The
+potentials of shares are raised to a power, one over the number of siblings of a kind, so that
+siblings have one vote together and a long list of comments does not outvote the name of its
+element. The DOM is a tree, so passing messages once upward and once downward (sum-product)
+gives exact marginals, and the text is what has a marginal of a half or more.
 
 Training pages are a table of html in which the content is marked by an attribute. The
-default ones are made by a rule: layouts with and without semantic tags, with menus, notices,
-sidebars, adverts, forms and comments in various places. At most ``MAX_PAGES`` pages are
+default ones are made by a rule: layouts with and without semantic tags and names, nested, in
+sections and in tables, with menus, notices, sidebars, adverts, forms and comments in various
+places. At most ``MAX_PAGES`` pages are
 used, the first by id. The model is a few hundred numbers, sent to every task; pages are not
 shuffled.
 
@@ -59,8 +63,15 @@ _ROLES = {
     "complementary": "sidebar", "main": "content", "article": "content", "dialog": "notice",
 }
 _LENGTHS = (20, 80, 200)
+_LINK_SHARES = (0.01, 0.3, 0.7)
+_PAGE_SHARES = (0.05, 0.2, 0.5)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 KNOWN_TAGS = BLOCKS | {"a", "b", "i", "em", "strong", "span", "code", "button", "label", "img"}
+# Elements that are made to hold others; names tell them apart.
+HOLDERS = frozenset(
+    "article aside center div dl font footer form header main nav ol section span table tbody td "
+    "tr ul".split()
+)
 
 
 def hints(node: Node) -> list[str]:
@@ -78,26 +89,60 @@ def hints(node: Node) -> list[str]:
     return sorted(found)
 
 
-def kind(node: Node) -> str:
-    """The kind of node that the potential with its parent depends on."""
-    if node.tag in HIDDEN:
-        return "hidden"
-    return node.tag if node.tag == "#text" or node.tag in KNOWN_TAGS else "other"
+def kinds(nodes: list[Node]) -> list[str]:
+    """The kind of each node that the potential with its parent depends on."""
+    found = []
+    for node in nodes:
+        if node.tag in HIDDEN:
+            found.append("hidden")
+        elif node.tag in HOLDERS:
+            named = any(node.attrs.get(name) for name in ("class", "id", "role"))
+            parent = nodes[max(0, node.parent)]
+            told = parent.tag in ("article", "main") or "content" in hints(parent)
+            found.append(node.tag + ".named" * named + ".inside" * told)
+        else:
+            known = node.tag == "#text" or node.tag in KNOWN_TAGS
+            found.append(node.tag if known else "other")
+    return found
 
 
-def evidence(nodes: list[Node]) -> list[list[str]]:
-    """What can be seen of each node."""
-    linked = [False] * len(nodes)
-    seen = []
+def _bucket(value: float, bounds: tuple[float, ...]) -> int:
+    return sum(value >= bound for bound in bounds)
+
+
+def evidence(nodes: list[Node]) -> list[list[tuple[str, float]]]:
+    """What can be seen of each node, with the power that its potential is raised to."""
+    n = len(nodes)
+    linked, hidden = [False] * n, [False] * n
+    lengths, in_links = [0] * n, [0] * n
+    siblings: Counter = Counter()
     for k, node in enumerate(nodes):
         if node.parent >= 0:
             linked[k] = linked[node.parent] or node.tag == "a"
+            hidden[k] = hidden[node.parent] or node.tag in HIDDEN
+        if node.tag == "#text" and not hidden[k]:
+            lengths[k] = len(node.text.strip())
+            in_links[k] = lengths[k] * linked[k]
+        if lengths[k] or node.tag != "#text":
+            siblings[node.parent, node.tag] += 1
+    for k in range(n - 1, 0, -1):
+        lengths[nodes[k].parent] += lengths[k]
+        in_links[nodes[k].parent] += in_links[k]
+    seen = []
+    for k, node in enumerate(nodes):
+        vote = 1 / max(1, siblings[node.parent, node.tag])
         if node.tag == "#text":
-            # Many short texts must not outvote the names around them: only links tell.
-            length = sum(len(node.text.strip()) >= n for n in _LENGTHS)
-            seen.append([f"link:{length}"] if linked[k] and node.text.strip() else [])
+            own = []
+            if lengths[k] and linked[k]:
+                # Many short texts must not outvote the names around them: only links tell.
+                own = [(f"link:{_bucket(lengths[k], _LENGTHS)}", 1.0)]
         else:
-            seen.append([f"hint:{h}" for h in hints(node)])
+            own = [(f"hint:{h}", 1.0) for h in hints(node)]
+            if node.tag in HOLDERS and lengths[k]:
+                links = _bucket(in_links[k] / lengths[k], _LINK_SHARES)
+                share = _bucket(lengths[k] / lengths[0], _PAGE_SHARES)
+                own += [(f"links:{links}", vote), (f"share:{share}", vote)]
+        seen.append(own)
     return seen
 
 
@@ -152,13 +197,13 @@ def train(pages: Iterable[str]) -> Model:
         nodes = parse(html)
         label = labels(nodes)
         roots[label[0]] += 1
-        for k, seen in enumerate(evidence(nodes)):
+        for k, (seen, kind) in enumerate(zip(evidence(nodes), kinds(nodes), strict=True)):
             if label[k] is None or k == 0:
                 continue
             above = label[nodes[k].parent] or 0
-            pairs[kind(nodes[k]), above, label[k]] += 1
+            pairs[kind, above, label[k]] += 1
             pairs[None, above, label[k]] += 1
-            for feature in seen:
+            for feature, _ in seen:
                 features[feature, label[k]] += 1
                 states[feature.partition(":")[0], label[k]] += 1
 
@@ -181,12 +226,12 @@ def train(pages: Iterable[str]) -> Model:
             for s in (0, 1)
         )
 
-    kinds = sorted({of for of, _, _ in pairs if of is not None})
+    trained = sorted({of for of, _, _ in pairs if of is not None})
     return Model(
         tuple(
             math.log((roots[s] + SMOOTHING) / (roots.total() + 2 * SMOOTHING)) for s in (0, 1)
         ),
-        {of: rows(of) for of in kinds},
+        {of: rows(of) for of in trained},
         rows(None),
         {name: given(name) for name in names},
     )
@@ -203,11 +248,11 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     local = [[0.0, 0.0] for _ in range(n)]
     local[0] = list(model.root)
     for own, seen in zip(local, evidence(nodes), strict=True):
-        for feature in seen:
+        for feature, power in seen:
             if potential := model.seen.get(feature):
-                own[0] += potential[0]
-                own[1] += potential[1]
-    tables = [model.transitions.get(kind(node), model.unknown) for node in nodes]
+                own[0] += power * potential[0]
+                own[1] += power * potential[1]
+    tables = [model.transitions.get(kind, model.unknown) for kind in kinds(nodes)]
 
     # Upward: below[k] gathers the messages of k's children; up[k] is the message of k.
     below = [list(own) for own in local]
@@ -270,6 +315,10 @@ _TRAINING_TEXT = (
 )
 
 
+# Names that do not tell what an element is for.
+_NEUTRAL = ("", 'class="wrap"', "", 'class="col-8"', 'id="x12"', "", 'class="row inner"')
+
+
 def labelled_pages() -> list[str]:
     """Pages made by a rule, their content marked: every layout with every kind of clutter."""
     text = cycle(_TRAINING_TEXT)
@@ -331,6 +380,11 @@ def labelled_pages() -> list[str]:
         if variant % 3 == 1:
             paragraphs.append(f"<{heading}>{next(text)}</{heading}>")
             paragraphs.append(f"<blockquote>{next(text)}</blockquote>")
+        if variant % 3 == 2:
+            names_ = _NEUTRAL[round_ % len(_NEUTRAL)]
+            own = ("section", "div")[variant % 2]
+            body = f"<{heading}>{next(text)[:20]}</{heading}><p>{next(text)}</p>"
+            paragraphs.append(f"<{own} {names_}>{body}</{own}><div><div><p>{next(text)}</p></div></div>")
         if variant % 4 == 2:
             paragraphs.append(f"<table><tr><td>{next(text)}</td><td>7</td></tr></table>")
         if variant % 2:
@@ -356,6 +410,65 @@ def labelled_pages() -> list[str]:
         paragraphs = "".join(f"<p>{next(text)}</p>" for _ in range(1 + k % 4))
         body = (f"<h1>{next(text)}</h1>{paragraphs}", paragraphs, next(text))[k % 3]
         pages.append(f"<html {on}><body>{body}</body></html>" if k % 2 else f"<div {on}>{body}</div>")
+    return [*pages, *_plain_pages(text)]
+
+
+def _plain_pages(text: Iterator[str]) -> list[str]:
+    """Layouts without telling names: nested, in sections, in tables, in old tags."""
+    names = cycle(_NEUTRAL)
+    on, off = f'{MARK}="1"', f'{MARK}="0"'
+
+    def links(n: int, tag: str) -> str:
+        words = [next(text)[: 5 + 3 * (i % 4)] for i in range(n)]
+        if tag == "ul":
+            items = "".join(f"<li><a href='/{i}'>{w}</a></li>" for i, w in enumerate(words))
+            return f"<ul {off}>{items}</ul>"
+        return f"<{tag} {off}>" + " | ".join(f"<a href='/'>{w}</a>" for w in words) + f"</{tag}>"
+
+    def wrapped(tag: str, depth: int, inside: str) -> str:
+        for _ in range(depth):
+            inside = f"<{tag} {next(names)}>{inside}</{tag}>"
+        return inside
+
+    def inside(k: int) -> str:
+        parts = [f"<h{1 + k % 2}>{next(text)[:50]}</h{1 + k % 2}>"] if k % 5 else []
+        for j in range(2 + k * 7 % 11):
+            body = f"{next(text)} {next(text)}" if j % 3 else f"{next(text)}<br>{next(text)}"
+            part = ("<p>{}</p>", "<p>{}</p>", "<div>{}</div>", "<font>{}</font><br>")[
+                k % 4 if j % 2 else 0
+            ].format(body)
+            if (j + k) % 4 == 3:
+                part = f"<section {next(names)}><h3>{next(text)[:30]}</h3>{part}</section>"
+            elif (j + k) % 4 == 1:
+                part = wrapped("div", 1 + k % 3, part)
+            parts.append(part)
+        if k % 6 == 4:
+            parts.append(f"<table><tr><td>{next(text)}</td><td>{k}</td></tr></table>")
+        return "".join(parts)
+
+    pages = []
+    for k in range(140):
+        content = inside(k)
+        tag = ("div", "section", "center", "div", "td")[k % 5]
+        few = f"<div {off}>&copy; 2020 <a href='/'>{next(text)[:12]}</a></div>"
+        menu = links(3 + k % 6, ("ul", "div", "p")[k % 3])
+        if k % 4 == 0:
+            menu, few = "", ""
+        if tag == "td":
+            side = f"<td {off}>{links(4, 'ul')}</td>"
+            main = f"<td {on} {next(names)}>{content}</td>"
+            body = f"<table><tr>{side if k % 2 else ''}{main}{side}</tr></table>"
+            pages.append(f"<html><body>{menu}{body}{few}</body></html>")
+            continue
+        main = f"<{tag} {next(names)} {on}>{content}</{tag}>"
+        if k % 3 == 1:
+            side = f"<div class='sidebar' {off}><h3>{next(text)[:20]}</h3>{links(5, 'ul')}</div>"
+            main = f"{main}{side}"
+        if k % 7 == 3:
+            posts = "".join(f"<div><p>{next(text)}</p></div>" for _ in range(1 + k % 9))
+            main += f"<div class='comments' {off}>{posts}</div>"
+        body = wrapped("div", k % 4, f"{menu}{wrapped('div', k % 3, main)}{few}")
+        pages.append(f"<html><body>{body}</body></html>")
     return pages
 
 
