@@ -34,13 +34,24 @@ from pricepanel.schema import (  # noqa: E402
     ROLL_FORWARD_PERIOD,
     Period,
     panel_columns,
+    panel_schema,
 )
+from pricepanel.functions import geo_mean_sql, register_functions, w_geo_mean_sql  # noqa: E402
 from pricepanel.sources.panels import (  # noqa: E402
+    export_order,
+    export_ordered,
+    read_audit,
+    read_ordered,
     read_panel,
     write_audit,
     write_by_period,
     write_panel,
 )
+from pricepanel.sources.published import (  # noqa: E402
+    publish_panel,
+    read_published,
+    write_version,
+)
 from pricepanel.sources.quotes import read_quotes  # noqa: E402
 from pricepanel.sources.star import star_quotes  # noqa: E402
 from pricepanel.tables import scratch_path  # noqa: E402
@@ -318,11 +329,19 @@ def written_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     built = build_history(landed_quotes(spark, sf_dir), keep_votes=True)
     for period in built.periods:
-        audit = built.audit(period)
-        if "pgeo" not in audit.columns:
-            audit = audit.withColumn("pgeo", F.lit(None).cast("double"))
-        write_audit(audit, path)
-    return show(spark.read.parquet(path), *LINE, "precio_base", "pgeo")
+        write_audit(built.audit(period), path)
+    return show(read_audit(spark, path, extra=LINE_SCHEMA), *LINE, "precio_base", "pgeo")
+
+
+def written_audits_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of both jobs in one audit table, each with the price it was held against."""
+    path = scratch_path(spark, "export")
+    built = build_history(landed_quotes(spark, sf_dir), keep_votes=True)
+    write_audit(built.audit(APRIL), path)
+    write_audit(built.audit(MAY), path)
+    write_audit(new_month(spark, sf_dir).audit(), path)
+    stored = read_audit(spark, path, extra=LINE_SCHEMA)
+    return show(stored, *LINE, "precio_base", "pgeo", "pgeo_ant")
 
 
 def written_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,16 +350,99 @@ def written_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(spark.read.parquet(path), *LINE, "precio_base", "pgeo_ant")
 
 
+def published_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History and June published one after the other, then a publication that fails half-way.
+
+    Readers see all of the first two, and nothing of the last at any level.
+    """
+    path = scratch_path(spark, "export")
+    publish_panel(history(spark, sf_dir).panels(), path)
+    june = roll_forward(landed_quotes(spark, sf_dir), read_published(spark, path))
+    publish_panel(june.panels(), path)
+    stored = read_published(spark, path)
+    wrong = {lv: stored[lv].withColumn("pgeo", F.col("pgeo") * 2) for lv in ("dep", "reg")}
+    write_version(wrong, path, "unfinished")
+    return every_level(read_published(spark, path))
+
+
+def ordered_export(level: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "export")
+        columns, order = panel_columns(level), export_order(level)
+        # Rounded before it is put in order: other columns than the price come first.
+        rounded = show_panel(history(spark, sf_dir).filled(level), level)
+        export_ordered(rounded, path, order)
+        return read_ordered(spark, path, panel_schema(level)).select(*columns, "orden")
+
+    return query
+
+
+# Long histories, corrections and checks
+
+LONG_PERIODS = tuple(Period(2004 + k // 12, k % 12 + 1) for k in range(240))
+
+
+def long_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quotes dealt over 240 months, most varieties with gaps."""
+    place = F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7, F.lit(240))
+    month = F.when(place % 3 == 0, place).otherwise(place - place % 40).cast("int")
+    return star_quotes(spark, sf_dir).withColumns(
+        {"anio": (2004 + F.floor(month / 12)).cast("int"), "mes": (month % 12 + 1).cast("int")}
+    )
+
+
+def long_fill(level: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cells = lv.dep_price_from_sums(lv.size_sums(qt.valid_quotes(long_quotes(spark, sf_dir))))
+        filled = fill.panel(lv.roll_up(cells, level), level, LONG_PERIODS, described=False)
+        return show(filled, *LEVEL_KEYS[level], "pgeo", "n", "mes", "anio")
+
+    return query
+
+
+def corrected_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history whose March is corrected: the stored later months are taken again."""
+    state = scratch_path(spark, "state")
+    quotes = landed_quotes(spark, sf_dir)
+    build_history(quotes, state=state)
+    march = (F.col("mes") == 3) & (F.col("l_orderkey") % 2 == 0)
+    price = F.when(march, F.col("precio_actual") * 1.1).otherwise(F.col("precio_actual"))
+    again = build_history(quotes.withColumn("precio_actual", price), state=state)
+    if again.reused != (MAY, APRIL):
+        raise AssertionError(f"reused {again.reused}")
+    return show_prices(again.dep, "dep")
+
+
+def dependency_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.dependency_conflicts(qt.with_product_code(star_quotes(spark, sf_dir)))
+
+
+def means_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region prices from SQL text alone: both means and the price of the base quantity."""
+    register_functions(spark)
+    cells = f"""
+        SELECT anio, mes, codigo_articulo, Departamento, min(region) AS region,
+               {geo_mean_sql("precio_base")} AS pgeo, count(*) AS n
+        FROM (SELECT *, base_price(precio_actual, cantidad_base, cantidad_actual) AS precio_base
+              FROM {{quotes}})
+        WHERE precio_base <> 0 GROUP BY anio, mes, codigo_articulo, Departamento"""
+    means = f"""
+        SELECT codigo_articulo, region, {w_geo_mean_sql("pgeo", "n")} AS pgeo, sum(n) AS n,
+               min(product_code(codigo_articulo)) AS cod_prod, mes, anio
+        FROM ({cells}) GROUP BY codigo_articulo, region, mes, anio"""
+    found = spark.sql(means, quotes=star_quotes(spark, sf_dir))
+    return show(found, "codigo_articulo", "region", "pgeo", "n", "cod_prod", "mes", "anio")
+
+
 # Text operators, which may be absent
 
 
 def optional(name: str) -> ModuleType | None:
-    """A module of the text operators, or None where their folders have been removed."""
+    """A module of the text operators, or None where it or what it needs is missing."""
     try:
         return import_module(name)
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("pricepanel.llm", "corpus_pipeline"):
-            raise
+    except ImportError as missing:
+        print(f"without {name}: {missing}", file=sys.stderr)
         return None
 
 
@@ -378,6 +480,15 @@ def queries() -> dict[str, Query]:
         "write_panel": written_panel,
         "write_audit": written_audit,
         "write_audit_history": written_history_audit,
+        "write_audit_together": written_audits_together,
+        "publish_panel": published_panel,
+        "export_ordered_var": ordered_export("var"),
+        "export_ordered_dep": ordered_export("dep"),
+        "fill_long_var": long_fill("var"),
+        "fill_long_reg": long_fill("reg"),
+        "resumed_history": corrected_history,
+        "dependency_conflicts": dependency_conflicts,
+        "means_in_sql": means_in_sql,
         "roll_forward_from_storage": rolled_from_storage,
         "roll_forward_dep_text_region": rolled_text_region,
         "roll_forward_dep_open": rolled("dep", keep_unreferenced=True),

@@ -151,8 +151,8 @@ def level(name: str, source: str) -> str:
     FROM {source} GROUP BY {keys}, mes, anio"""
 
 
-def history_tables() -> dict[str, str]:
-    t = {"quotes": QUOTES}
+def history_tables(quotes: str = QUOTES) -> dict[str, str]:
+    t = {"quotes": quotes}
     following = None
     for name, (anio, mes) in reversed(MONTHS.items()):
         rows = f"SELECT * FROM quotes WHERE anio = {anio} AND mes = {mes}"
@@ -283,6 +283,9 @@ def show(source: str, columns: list[str]) -> str:
 LINE = ["l_orderkey", "l_linenumber", "codigo_articulo", "Departamento", "mes", "anio"]
 
 
+AUDITED = [*LINE, "precio_base", "pgeo", "pgeo_ant"]
+
+
 def panel_columns(lv: str) -> list[str]:
     return [*KEYS[lv], "pgeo", *DESCRIBED[lv], "mes", "anio"]
 
@@ -304,6 +307,61 @@ def every_level(suffix: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+# The quotes dealt over 240 months.
+LONG_QUOTES = f"""
+SELECT * REPLACE (CAST(2004 + long_month // 12 AS INTEGER) AS anio,
+                  CAST(long_month % 12 + 1 AS INTEGER) AS mes)
+FROM (SELECT *, CASE WHEN place % 3 = 0 THEN place ELSE place - place % 40 END AS long_month
+      FROM (SELECT *, (l_orderkey * 31 + l_linenumber * 7) % 240 AS place FROM ({QUOTES})))"""
+
+# March with half of its prices corrected.
+CORRECTED_QUOTES = f"""
+SELECT * REPLACE (CASE WHEN mes = 3 AND l_orderkey % 2 = 0 THEN precio_actual * CAST(1.1 AS DOUBLE)
+                       ELSE precio_actual END AS precio_actual)
+FROM ({QUOTES})"""
+
+
+def long_fill(lv: str) -> str:
+    """Every key in each of 240 months, filled by the nearest price after it, then before it."""
+    keys = KEYS[lv]
+    own = commas(keys, "g.")
+    window = f"PARTITION BY {commas(keys)} ORDER BY place"
+    return f"""
+    SELECT {commas(keys)}, round(coalesce(after, before), 4) AS pgeo, n,
+           CAST(place % 12 + 1 AS INTEGER) AS mes, CAST(2004 + place // 12 AS INTEGER) AS anio
+    FROM (
+      SELECT *, first_value(pgeo IGNORE NULLS) OVER ({window}
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after,
+             last_value(CASE WHEN place >= 1 THEN pgeo END IGNORE NULLS) OVER ({window}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before,
+             max(seen) OVER (PARTITION BY {commas(keys)}) AS last_seen
+      FROM (
+        SELECT {own}, g.place, pgeo, n, CASE WHEN p.mes IS NOT NULL THEN g.place END AS seen
+        FROM (SELECT * FROM (SELECT DISTINCT {commas(keys)} FROM {lv}_long),
+                            (SELECT unnest(range(240)) AS place)) g
+        LEFT JOIN {lv}_long p ON {on(keys, "g", "p")} AND g.place = (p.anio - 2004) * 12 + p.mes - 1
+      ) observed
+    ) spread WHERE place <= last_seen OR last_seen >= 1"""
+
+
+def dependency(left: str, right: str) -> str:
+    return f"""
+    SELECT '{left} > {right}' AS dependencia, CAST({left} AS VARCHAR) AS clave,
+           count(*) AS valores, min(CAST({right} AS VARCHAR)) AS minimo,
+           max(CAST({right} AS VARCHAR)) AS maximo, CAST(sum(n) AS BIGINT) AS precios
+    FROM (SELECT {left}, {right}, count(*) AS n FROM coded GROUP BY {left}, {right}) v
+    GROUP BY {left} HAVING count(*) > 1"""
+
+
+def ordered(lv: str) -> str:
+    """The finished panel with the place of each row in the order of its columns."""
+    first = [*KEYS[lv], "anio", "mes"]
+    columns = [*first, *(c for c in panel_columns(lv) if c not in first)]
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    shown = show(f"{lv}_fill", panel_columns(lv))
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS orden FROM ({shown}) p"
+
+
 def build() -> dict[str, str]:
     t = roll_forward_tables()
     cell = ["codigo_articulo", "Departamento", "mes", "anio"]
@@ -317,6 +375,18 @@ def build() -> dict[str, str]:
     for coarse, fine in FINER.items():
         t[f"{coarse}_all"] = level(coarse, f"{fine}_all")
 
+    t["long_quotes"] = LONG_QUOTES
+    t["long_valid"] = valid("long_quotes")
+    t["long_base"] = popular("long_valid", cell)
+    t["dep_long"] = dep("long_base")
+    for coarse, fine in FINER.items():
+        t[f"{coarse}_long"] = level(coarse, f"{fine}_long")
+    t["valid_any"] = valid("quotes")
+    t["dep_any"] = dep("valid_any")
+    t["reg_any"] = level("reg", "dep_any")
+    t["coded"] = """
+    SELECT *, CASE WHEN cod = '10400011' THEN '1040001' ELSE cod END AS cod_prod FROM quotes"""
+
     size = [*cell, "cantidad_actual"]
     final = {
         "period_quotes": show("bol_may", [*LINE, "precio_actual", "tipo_precio"]),
@@ -368,6 +438,29 @@ def build() -> dict[str, str]:
             [show("base_may", [*LINE, "precio_base"]).replace(" FROM", ", NULL AS pgeo FROM")]
             + [show(f"base_{m}", [*LINE, "precio_base", "pgeo"]) for m in MONTHS if m != "may"]
         ),
+        "write_audit_together": " UNION ALL ".join(
+            [
+                show("(SELECT *, NULL AS pgeo, NULL AS pgeo_ant FROM base_may)", AUDITED),
+                show("(SELECT *, NULL AS pgeo_ant FROM base_abr)", AUDITED),
+                show("(SELECT *, NULL AS pgeo FROM base_jun)", AUDITED),
+            ]
+        ),
+        "publish_panel": f"{every_level('fill')} UNION ALL {every_level('fill_jun')}",
+        "export_ordered_var": ordered("var"),
+        "export_ordered_dep": ordered("dep"),
+        "fill_long_var": long_fill("var"),
+        "fill_long_reg": long_fill("reg"),
+        "dependency_conflicts": " UNION ALL ".join(
+            dependency(left, right)
+            for left, right in (
+                ("codigo_articulo", "articulo"), ("codigo_articulo", "producto_nombre"),
+                ("codigo_articulo", "cantidad_base"), ("cod_prod", "producto_nombre"),
+                ("Departamento", "region"),
+            )
+        ),
+        "means_in_sql": show(
+            "reg_any", ["codigo_articulo", "region", "pgeo", "n", "cod_prod", "mes", "anio"]
+        ),
         "roll_forward_from_storage": every_level("fill_jun"),
         "roll_forward_dep_text_region": show(
             "dep_text_carried", [*KEYS["dep"], "pgeo", "mes", "anio"]
@@ -396,4 +489,7 @@ def build() -> dict[str, str]:
                 f"{lv}_fill_written", panel_columns(lv)
             )
     final["voted_dep_price"] = final["dep_price"]
-    return {name: statement(t, sql) for name, sql in final.items()}
+    written = {name: statement(t, sql) for name, sql in final.items()}
+    corrected = history_tables(CORRECTED_QUOTES)
+    written["resumed_history"] = statement(corrected, show("dep_clean", price_columns("dep")))
+    return written

@@ -3,7 +3,8 @@
 from pricepanel.plans.history import History, build_history
 from pricepanel.plans.rollforward import RollForward, roll_forward
 from pricepanel.schema import HISTORY_PERIODS, ROLL_FORWARD_PERIOD, Period
-from pricepanel.sources.panels import read_panel, write_audit, write_panel
+from pricepanel.sources.panels import read_audit, read_panel, write_audit, write_panel
+from pricepanel.sources.published import publish_panel, read_published
 from pricepanel.sources.quotes import read_quotes
 
 __all__ = [
@@ -13,7 +14,10 @@ __all__ = [
     "Period",
     "RollForward",
     "build_history",
+    "publish_panel",
+    "read_audit",
     "read_panel",
+    "read_published",
     "read_quotes",
     "roll_forward",
     "write_audit",

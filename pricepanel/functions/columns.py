@@ -18,6 +18,11 @@ def ln_positive(x: Column) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
+def geo_mean(x: Column) -> Column:
+    """Geometric mean of the positive values; null if there is none."""
+    return F.exp(F.avg(ln_positive(x)))
+
+
 def w_geo_mean(x: Column, w: Column) -> Column:
     """Weighted geometric mean.
 
@@ -66,7 +71,16 @@ def in_period(period: Period) -> Column:
     return in_periods([period])
 
 
+# Runs of months longer than this are bounded instead of listed.
+_LISTED = 24
+
+
 def in_periods(periods: Iterable[Period]) -> Column:
     """Like ``in_period`` for any of several months."""
-    wanted = (f"(anio = {p.anio} AND mes = {p.mes})" for p in periods)
-    return F.expr(" OR ".join(wanted) or "false")
+    wanted = sorted(set(periods))
+    if len(wanted) > _LISTED and wanted[-1].ordinal - wanted[0].ordinal == len(wanted) - 1:
+        years = f"anio BETWEEN {wanted[0].anio} AND {wanted[-1].anio}"
+        months = f"anio * 12 + mes BETWEEN {wanted[0].ordinal} AND {wanted[-1].ordinal}"
+        return F.expr(f"{years} AND {months}")
+    listed = (f"(anio = {p.anio} AND mes = {p.mes})" for p in wanted)
+    return F.expr(" OR ".join(listed) or "false")

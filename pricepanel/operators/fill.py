@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,69 +11,73 @@ from pricepanel.functions import columns as C
 from pricepanel.schema import LEVEL_ATTRIBUTES, LEVEL_KEYS, PERIOD, Period
 
 
+def _months(periods: Sequence[Period]) -> tuple[Column, Callable[[Column], Column]]:
+    """The place of a row's month among ``periods``, and the month of a place."""
+    ordinals = [p.ordinal for p in periods]
+    month = C.period_ordinal(F.col("anio"), F.col("mes"))
+    if ordinals[-1] - ordinals[0] == len(ordinals) - 1:
+        return month - ordinals[0], lambda place: place + ordinals[0]
+    listed = F.array(*map(F.lit, ordinals))
+    return (F.array_position(listed, month) - 1).cast("int"), lambda place: F.get(listed, place)
+
+
 def _with_fills(
     prices: DataFrame, level: str, periods: Sequence[Period], described: bool = True
 ) -> DataFrame:
     """Every key in every month, with what lies at or after and at or before the month.
 
-    One shuffle: the months of a key become columns of numbers, are spread out again over
-    all months, and filled by windows on the same partitioning. Grouping treats null keys
-    as equal. If a key has several rows in a month, as in a stored panel with several
-    descriptions, the highest price and count are taken. Of the attributes only those of
-    the last month are gathered, and none unless ``described``.
+    One shuffle, by key. A row stands for its month and for the months without a row before
+    it, the last row of a key also for those after it, so each is expanded by the gap beside
+    it: nothing depends on the number of months but the number of rows that come out. Grouping
+    treats null keys as equal. If a key has several rows in a month, as in a stored panel with
+    several descriptions, the highest price and count are taken. Of the attributes only those
+    of the last month are gathered, and none unless ``described``.
     """
     if not periods:
         raise ValueError("a fill needs at least one month")
     keys = LEVEL_KEYS[level]
     attributes = LEVEL_ATTRIBUTES[level] if described else ()
-    periods = sorted(periods)
-    carry_from = periods[min(1, len(periods) - 1)].ordinal
-
-    def of_month(period: Period, value: Column) -> Column:
-        return F.max(F.when(C.in_period(period), value))
-
-    numbers = (
-        column
-        for k, p in enumerate(periods)
-        for column in (
-            of_month(p, F.col("pgeo")).alias(f"__pgeo{k}"),
-            of_month(p, F.col("n")).alias(f"__n{k}") if "n" in prices.columns
-            else F.lit(None).cast("long").alias(f"__n{k}"),
-            F.coalesce(of_month(p, F.lit(True)), F.lit(False)).alias(f"__seen{k}"),
-        )
-    )
-    # Nulls are not collected, so one entry comes together, that of the last month.
-    anchor = F.when(C.in_period(periods[-1]), F.struct(*attributes)) if described else None
-    anchors = [F.array_min(F.collect_list(anchor)).alias("anchor")] if described else []
-    observed = prices.where(C.in_periods(periods)).groupBy(*keys).agg(*numbers, *anchors)
-    months = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(p.ordinal).alias("month"),
-                    F.col(f"__pgeo{k}").alias("pgeo"),
-                    F.col(f"__n{k}").alias("n"),
-                    F.col(f"__seen{k}").alias("seen"),
-                )
-                for k, p in enumerate(periods)
-            )
-        )
-    ).alias("own")
-    shown = ("anchor",) if described else ()
-    grid = observed.select(*keys, *shown, months).select(*keys, *shown, "own.*")
-
-    by_month = Window.partitionBy(*keys).orderBy("month")
-    onward = by_month.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carries = F.col("month") >= carry_from
-    return grid.select(
+    periods = sorted(set(periods))
+    end = len(periods) - 1
+    carry_from = min(1, end)
+    place, month_at = _months(periods)
+
+    n = F.col("n") if "n" in prices.columns else F.lit(None).cast("long")
+    numbers = [F.max("pgeo").alias("pgeo"), F.max(n).alias("n")]
+    if described:
+        # Nulls are not collected, so one entry comes together, that of the last month.
+        anchor = F.when(F.col("place") == end, F.struct(*attributes))
+        numbers.append(F.array_min(F.collect_list(anchor)).alias("anchor"))
+    observed = (
+        prices.where(C.in_periods(periods))
+        .withColumn("place", place)
+        .repartition(*(F.col(k) for k in keys))
+        .groupBy(*keys, "place")
+        .agg(*numbers)
+    )
+    onward = Window.partitionBy(*keys).orderBy(F.col("place").desc())
+    so_far = Window.partitionBy(*keys).orderBy("place")
+    carries = F.col("place") >= carry_from
+    runs = observed.withColumns(
+        {
+            "next_price": F.last("pgeo", ignorenulls=True).over(onward),
+            "first": F.coalesce(F.lead("place").over(onward) + 1, F.lit(0)),
+            "final": F.lag("place").over(onward).isNull(),
+            **({"anchor": F.last("anchor", ignorenulls=True).over(onward)} if described else {}),
+        }
+    ).withColumn(
+        "last_price", F.last(F.when(carries, F.col("pgeo")), ignorenulls=True).over(so_far)
+    )
+    until = F.when(F.col("final") & carries, end).otherwise(F.col("place"))
+    spread = runs.withColumn("__place", F.explode(F.sequence(F.col("first"), until)))
+    ahead = F.col("__place") <= F.col("place")
+    return spread.select(
         *keys,
-        "month",
-        "n",
-        F.first("pgeo", ignorenulls=True).over(onward).alias("next_price"),
-        F.last(F.when(carries, F.col("pgeo")), ignorenulls=True).over(so_far).alias("last_price"),
-        F.max("seen").over(onward).alias("has_next"),
-        F.max(carries & F.col("seen")).over(so_far).alias("has_last"),
+        month_at(F.col("__place")).alias("month"),
+        F.when(F.col("__place") == F.col("place"), F.col("n")).alias("n"),
+        F.when(ahead, F.col("next_price")).alias("next_price"),
+        "last_price",
+        ahead.alias("has_next"),
         *(F.col("anchor")[a].alias(a) for a in attributes),
     )
 
@@ -108,7 +112,7 @@ def panel(
     The first month is not carried forward: the chain starts at the second. Without
     ``described`` the attributes are left out.
     """
-    filled = _with_fills(prices, level, periods, described).where("has_next OR has_last")
+    filled = _with_fills(prices, level, periods, described)
     return _finish(filled, level, F.coalesce("next_price", "last_price"), described)
 
 

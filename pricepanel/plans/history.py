@@ -23,6 +23,7 @@ from pricepanel.operators.quotes import (
     regime_filter,
     valid_quotes,
 )
+from pricepanel.plans.state import FoldState, month_fingerprints
 from pricepanel.schema import (
     BAND_FACTOR,
     BY_WEIGHT_CODES,
@@ -44,6 +45,9 @@ class History:
     banded: Mapping[Period, DataFrame]
     sums: Mapping[Period, Table]
     by_weight: tuple[str, ...]
+    # Months whose stored result was taken, and months that were cleaned, last to first.
+    reused: tuple[Period, ...] = ()
+    cleaned: tuple[Period, ...] = ()
 
     @cached_property
     def dep(self) -> DataFrame:
@@ -97,6 +101,7 @@ def build_history(
     factor: float = BAND_FACTOR,
     by_weight: Iterable[str] = BY_WEIGHT_CODES,
     keep_votes: bool = False,
+    state: str | None = None,
 ) -> History:
     """Clean each month against the following one, starting from the last.
 
@@ -104,6 +109,9 @@ def build_history(
     sequence; each is one distributed pass over that month's quotes, and only its
     department prices are kept for the next step. ``keep_votes`` also keeps the sums
     per package size, which spares the audit export a second counting pass.
+
+    ``state`` names a folder in which the months' results are kept for later runs: those
+    clean only the months that a correction of quotes or another parameter can have changed.
     """
     periods = tuple(sorted(periods))
     if not periods:
@@ -111,6 +119,10 @@ def build_history(
     quotes = normalize_region(quotes)
     by_weight = tuple(by_weight)
     regime_periods = tuple(regime_periods)
+    kept = None
+    if state is not None:
+        parameters = {"factor": factor, "by_weight": sorted(by_weight)}
+        kept = FoldState(state, month_fingerprints(quotes, periods), parameters)
     cleaned: dict[Period, Table] = {}
     banded: dict[Period, DataFrame] = {}
     sums: dict[Period, Table] = {}
@@ -119,11 +131,15 @@ def build_history(
         rows = valid_quotes(regime_filter(period_quotes(quotes, period), regime_periods, regime))
         if following is not None:
             rows = outlier_band_following(rows, following, factor)
+        if kept is not None:
+            kept.begin(period, regime=regime if period in regime_periods else None)
         voted = size_sums(rows, by_weight)
         if keep_votes:
-            sums[period] = materialize(voted)
+            sums[period] = kept.keep("sums", voted) if kept else materialize(voted)
             voted = sums[period].df
-        following = materialize(dep_price_from_sums(voted))
+        dep = dep_price_from_sums(voted)
+        following = kept.keep("dep", dep) if kept else materialize(dep)
         cleaned[period] = following
         banded[period] = rows
-    return History(periods, cleaned, banded, sums, by_weight)
+    runs = (kept.reused, kept.cleaned) if kept else ((), periods[::-1])
+    return History(periods, cleaned, banded, sums, by_weight, *map(tuple, runs))

@@ -91,6 +91,18 @@ QUOTE_SCHEMA = T.StructType(
     ]
 )
 
+# Quotes that entered a month's prices, and the price of the adjacent month they were held
+# against: the following month's in the history, the previous one's in the roll-forward.
+AUDIT_SCHEMA = T.StructType(
+    [
+        *(f for f in QUOTE_SCHEMA.fields if f.name not in PERIOD),
+        T.StructField("precio_base", T.DoubleType()),
+        T.StructField("pgeo", T.DoubleType()),
+        T.StructField("pgeo_ant", T.DoubleType()),
+        *(T.StructField(c, T.IntegerType()) for c in PERIOD),
+    ]
+)
+
 _PANEL_TYPES = {
     "codigo_articulo": T.StringType(),
     "region": T.IntegerType(),
