@@ -46,7 +46,9 @@ def product_code(code: Column) -> Column:
 
 def is_by_weight(codes: Iterable[str] = BY_WEIGHT_CODES) -> Column:
     """True for by-weight varieties; a null code is not one of them."""
-    return F.coalesce(F.col("codigo_articulo").isin(*codes), F.lit(False))
+    # One expression as text: a literal for each code would be as many calls to the driver's JVM.
+    listed = ", ".join("'" + code.replace("\\", "\\\\").replace("'", "\\'") + "'" for code in codes)
+    return F.expr(f"coalesce(codigo_articulo IN ({listed}), false)" if listed else "false")
 
 
 def region_number(region: Column) -> Column:

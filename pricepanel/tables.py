@@ -26,12 +26,15 @@ class Table:
 
     df: DataFrame
     source: Table | None = None
+    measured: int | None = None
 
     @cached_property
     def size(self) -> int:
-        """Upper estimate in bytes, measured by one pass over the materialised rows."""
+        """Upper estimate in bytes, measured while the rows were materialised or by a pass."""
         if self.source is not None:
             return self.source.size
+        if self.measured is not None:
+            return self.measured
         return int(self.df.agg(F.sum(_row_bytes(self.df.schema))).first()[0] or 0)
 
     def derive(self, df: DataFrame) -> Table:
@@ -78,13 +81,19 @@ def _remove(sc: SparkContext, path: str) -> None:
 def materialize(df: DataFrame) -> Table:
     """Compute ``df`` once and keep it on storage that outlives an executor."""
     shared_dir(df.sparkSession)
-    return Table(df.checkpoint(eager=True))
+    name = f"size-{uuid.uuid4().hex}"
+    observed = df.observe(name, F.sum(_row_bytes(df.schema)).alias("bytes"))
+    kept = observed.checkpoint(eager=True)
+    # What the job has counted; without it the size is measured when it is asked for.
+    counted = observed._jdf.queryExecution().observedMetrics().get(name)
+    measured = int(counted.get().get(0) or 0) if counted.isDefined() else None
+    return Table(kept, measured=measured)
 
 
 def _row_bytes(schema: T.StructType) -> Column:
     """Bytes of one row in a hashed relation: fixed slots, padded strings, entry overhead."""
     texts = (f.name for f in schema.fields if isinstance(f.dataType, T.StringType))
-    padded = (f"coalesce(octet_length({name}), 0) + 8" for name in texts)
+    padded = (f"coalesce(octet_length(`{name.replace('`', '``')}`), 0) + 8" for name in texts)
     return F.expr(" + ".join((f"{40 + 16 * len(schema.fields)}L", *padded)))
 
 
