@@ -4,15 +4,17 @@ Sources share the size of the mix by weight, but no source is repeated more ofte
 its maximum of epochs. What a source cannot take is shared out again by weight among the
 others, until none is above its maximum. A target is then met by whole repetitions of all
 documents of the source and, for the rest, by a seeded share of them: documents are put in
-the order of a hash of their id and taken from the start up to the target.
+the order of a hash of their id and text and taken from the start up to the target.
 
 The order within a source is cut into buckets by the first digits of the hash. Only the
 bucket in which the target falls is looked at document by document, so a source with
-most of all documents needs no more than one small group at once. The result of it all is
-one row per source, which is looked up where the documents lie.
+most of all documents needs no more than one small group at once. Rows that agree in source, id
+and text are numbered, by ranges over all of them, and the number is part of what is hashed: no
+two rows have one place, and many rows without an id do not share a bucket. The result of it
+all is one row per source, which is looked up where the documents lie.
 
 Edge cases: a null text has size 0 and adds nothing. A null source is a source of its own.
-Rows that agree in id and size are taken alike. Sources of size 0 get target 0. If all
+Of rows that agree in all, as many are taken as the target needs. Sources of size 0 get target 0. If all
 sources at their maximum do not reach the size asked for, all get their maximum. An empty
 table gives an empty result. Other columns are not touched.
 """
@@ -75,10 +77,34 @@ def water_fill(
     return sources.withColumn("target", target)
 
 
-def order_key(doc_id: Column, size: Column, seed: str = SEED) -> Column:
-    """The place of a document in the seeded order of its source."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.concat(digest, F.lpad(size.cast("string"), 20, "0"))
+_SAME = ["source", "doc_id", "digest"]
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Add ``nth``, the number of a row among those with its source, id and text, from 0.
+
+    Only rows that have such others are put in order.
+    """
+    repeated = materialize(rows.groupBy(*_SAME).count().where("count > 1").select(*_SAME))
+    if repeated.df.isEmpty():
+        return rows.withColumn("nth", F.lit(0).cast("long"))
+    tied = lookup_join(rows, repeated, _SAME, "left_semi")
+    tied = written(tied.withColumn("__tie", F.monotonically_increasing_id()), "mix-ties")
+    placed = written(running_total(tied, [*_SAME, "__tie"], "__place"), "mix-places")
+    firsts = materialize(placed.groupBy(*_SAME).agg(F.min("__place").alias("__first")))
+    among = lookup_join(placed, firsts, _SAME).withColumn(
+        "nth", F.col("__place") - F.col("__first")
+    )
+    alone = lookup_join(rows, repeated, _SAME, "left_anti")
+    return alone.withColumn("nth", F.lit(0).cast("long")).unionByName(
+        among.drop("__tie", "__place", "__first")
+    )
+
+
+def with_order_key(rows: DataFrame, seed: str = SEED) -> DataFrame:
+    """Add ``key``, the place of a row in the seeded order of its source."""
+    told = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "digest", "nth"))
+    return numbered(rows).withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), *told)))
 
 
 def plan_mix(
@@ -132,13 +158,14 @@ def times_taken() -> Column:
     return F.col("whole") + F.coalesce(F.col("key") <= F.col("last_key"), F.lit(False)).cast("int")
 
 
-def _rows(documents: DataFrame, doc_id: str, text: str, source: str, seed: str) -> DataFrame:
-    sized = documents.select(
-        F.col(doc_id).alias("doc_id"),
+def _rows(documents: DataFrame, doc_id: str, text: str, source: str, *kept: Column) -> DataFrame:
+    return documents.select(
+        *kept,
+        F.col(doc_id).cast("string").alias("doc_id"),
         F.col(source).alias("source"),
         F.size(words_of(F.col(text))).cast("long").alias("size"),
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("digest"),
     )
-    return sized.withColumn("key", order_key(F.col("doc_id"), F.col("size"), seed))
 
 
 def mix(
@@ -153,11 +180,13 @@ def mix(
     seed: str = SEED,
 ) -> DataFrame:
     """One row per document: its size, its source's size and target, and what the mix takes."""
-    rows = written(_rows(documents, doc_id, text, source, seed), "mix")
+    own = F.col(doc_id).alias("own_id")
+    rows = written(_rows(documents, doc_id, text, source, own), "mix")
+    rows = written(with_order_key(rows, seed), "mix")
     plan = plan_mix(rows, weights, share, max_epochs)
     taken = (times_taken() * F.col("size")).cast("long")
     return lookup_join(rows, plan, ["source"]).select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"),
+        F.col("own_id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"),
         times_taken().alias("repetitions"),
     )
 
@@ -171,13 +200,10 @@ def mixed_documents(
 ) -> DataFrame:
     """The documents of the mix, each as often as it is repeated, with the given columns."""
     seed = options.pop("seed", SEED)
-    plan = plan_mix(written(_rows(documents, doc_id, text, source, seed), "mix"), **options)
-    size = F.size(words_of(F.col(text))).cast("long")
-    keyed = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"),
-        F.col(source).alias("source"),
-        order_key(F.col(doc_id), size, seed).alias("key"),
-    )
+    rows = written(_rows(documents, doc_id, text, source), "mix")
+    plan = plan_mix(written(with_order_key(rows, seed), "mix"), **options)
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row")
+    keyed = with_order_key(_rows(documents, doc_id, text, source, whole), seed)
     joined = lookup_join(keyed, plan, ["source"])
     copies = F.explode(F.array_repeat(F.lit(0), times_taken())).alias("__copy")
     return joined.select("__row", copies).select("__row.*")

@@ -47,9 +47,12 @@ FROM judged"""
 
 # What the mix takes of every row of ``documents_in``, as ``mixed``.
 _MIXED = rf"""
-sized AS (SELECT *, CAST(len({_WORDS}) AS BIGINT) AS mix_size FROM documents_in),
-keyed AS (SELECT *, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ''))
-                    || lpad(CAST(mix_size AS VARCHAR), 20, '0') AS mix_key FROM sized),
+sized AS (SELECT *, CAST(len({_WORDS}) AS BIGINT) AS mix_size, md5(coalesce(text, '')) AS mix_digest
+          FROM documents_in),
+keyed AS (SELECT *, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || mix_digest || ':'
+                        || CAST(row_number() OVER (PARTITION BY source, doc_id, mix_digest) - 1
+                                AS VARCHAR)) AS mix_key
+          FROM sized),
 totals AS (SELECT source, CAST(sum(mix_size) AS BIGINT) AS source_size FROM keyed GROUP BY source),
 weighted AS (SELECT source, source_size,
                     [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight

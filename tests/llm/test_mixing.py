@@ -91,3 +91,25 @@ def test_repeated_rows_and_empty_tables(documents):
     assert {r["taken"] for r in got.where("size = 0").collect()} == {0}
     nothing = df.where("false")
     assert mixing.mix(nothing).count() == 0 == mixing.mixed_documents(nothing).count()
+
+
+@pytest.mark.parametrize("same_text", [True, False])
+def test_rows_without_ids_end_near_the_target(spark, documents, as_sql, same_text):
+    """Ties: a source of rows that agree in id, size and text, or in id and size."""
+    text = "w " * 99
+    rows = [(None, text + ("w" if same_text else f"w{k}"), "a") for k in range(450)]
+    rows += [(k, "w " * 300, "b") for k in range(40)] + [(7, "v " * 100, "b")] * 60
+    df = documents(*rows)
+    got = mixing.mix(df).cache()
+    taken, targets = {}, {}
+    for r in got.collect():
+        name = "a" if r["doc_id"] is None else "b"
+        taken[name] = taken.get(name, 0) + r["taken"]
+        targets[name] = r["target"]
+    assert got.count() == 550
+    assert abs(taken["a"] - targets["a"]) <= 100 and abs(taken["b"] - targets["b"]) <= 300
+    assert by_name(got.drop("repetitions")) == as_sql(oracle.MIXING, documents=df)
+    copies = mixing.mixed_documents(df)
+    assert copies.columns == df.columns
+    words = copies.selectExpr("source", "size(split(trim(text), ' ')) AS n").groupBy("source").sum("n")
+    assert {r[0]: r[1] for r in words.collect()} == taken
