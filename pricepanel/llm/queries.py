@@ -44,7 +44,8 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+    read = warc.archive_round_trip(read_table(spark, sf_dir, "pages"), payload=False)
+    return read.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

@@ -8,10 +8,11 @@ bundle, frame and offset inside the frame.
 
 Pages are written where they lie; only their ids and digests move. Of pages with equal
 payloads the one with the smallest id is stored as a response, the others as revisits that
-refer to it. A task writes its bundles under names of its own into the shared folder and
-hands out their index entries when it is done, so a task that is lost or repeated leaves at
-most a file that no index names. Files go through pyarrow's file systems, which know local
-and remote stores by URI.
+refer to it. A task writes its bundles under names of its own into the shared folder, frame
+by frame, and Spark keeps its index entries only if it ends well, so a task that is lost or
+repeated leaves at most a file that no index names. Files go through pyarrow's file systems,
+which know local and remote stores by URI. A task holds one frame, one Arrow batch of pages
+and, read back, ``BATCH_BYTES`` of payloads, or one payload where that is larger.
 
 Edge cases: a null payload is empty. Payloads below ``min_revisit_bytes`` are always
 responses. If several rows have the smallest id of equal payloads, all of them are
@@ -24,11 +25,11 @@ touched.
 from __future__ import annotations
 
 import hashlib
-import io
 import struct
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import BinaryIO
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -43,6 +44,9 @@ FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 MIN_REVISIT_BYTES = 100
 LEVEL = 3
+# Payloads and rows that are handed to Spark at once.
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 10_000
 # Fixed values of the seekable format: magic numbers, and the layouts of its parts.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -53,22 +57,24 @@ _SKIPPABLE = "<II"
 INDEX_SCHEMA = (
     "page_id long, record_id string, bundle string, frame int, offset long, length long"
 )
-RECORD_SCHEMA = (
+HEADER_SCHEMA = (
     "page_id long, url string, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string, payload binary"
+    "payload_bytes long, payload_digest string"
 )
+RECORD_SCHEMA = f"{HEADER_SCHEMA}, payload binary"
 
 
 @dataclass
 class BundleWriter:
-    """Collects records into frames; ``finish`` gives the bytes of the bundle."""
+    """Collects records into frames, and writes each to ``out`` when it is full."""
 
+    out: BinaryIO
     frame_bytes: int = FRAME_BYTES
     level: int = LEVEL
     sizes: list[tuple[int, int]] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        self._out = io.BytesIO()
+        self.written = 0
         self._frame = bytearray()
         self._compressor = zstandard.ZstdCompressor(level=self.level, write_checksum=True)
 
@@ -80,24 +86,24 @@ class BundleWriter:
         self._frame += record
         return place
 
-    @property
-    def written(self) -> int:
-        return self._out.tell()
+    def _write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.written += len(data)
 
     def _flush(self) -> None:
         packed = self._compressor.compress(bytes(self._frame))
         self.sizes.append((len(packed), len(self._frame)))
-        self._out.write(packed)
+        self._write(packed)
         self._frame.clear()
 
-    def finish(self) -> bytes:
+    def finish(self) -> None:
+        """Write the last frame and the seek table."""
         if self._frame:
             self._flush()
         table = b"".join(struct.pack(_ENTRY, *sizes) for sizes in self.sizes)
         footer = struct.pack(_FOOTER, len(self.sizes), 0, SEEKABLE_MAGIC)
-        self._out.write(struct.pack(_SKIPPABLE, SKIPPABLE_MAGIC, len(table) + len(footer)))
-        self._out.write(table + footer)
-        return self._out.getvalue()
+        self._write(struct.pack(_SKIPPABLE, SKIPPABLE_MAGIC, len(table) + len(footer)))
+        self._write(table + footer)
 
 
 class BundleReader:
@@ -212,35 +218,37 @@ def write_archives(
     folder = f"{path.rstrip('/')}/bundles"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        writer, entries = None, []
+        writer = name = None
 
-        def close() -> pd.DataFrame:
+        def opened() -> tuple[str, BundleWriter]:
             name = f"{folder}/{uuid.uuid4().hex}.warc.zst"
             store, target = _open(name)
             store.create_dir(target.rpartition("/")[0], recursive=True)
-            with store.open_output_stream(target, compression=None) as out:
-                out.write(writer.finish())
-            rows = [
-                (None if p is None else int(p), r, name, frame, at, n)
-                for p, r, frame, at, n in entries
-            ]
-            columns = ["page_id", "record_id", "bundle", "frame", "offset", "length"]
-            return pd.DataFrame(rows, columns=columns, dtype=object)
+            return name, BundleWriter(store.open_output_stream(target, compression=None), frame_bytes)
+
+        def close() -> None:
+            writer.finish()
+            writer.out.close()
 
         for batch in batches:
+            entries = []
             for row in batch.itertuples(index=False):
-                writer = writer or BundleWriter(frame_bytes)
+                if writer is None:
+                    name, writer = opened()
                 record_id = f"urn:uuid:{uuid.uuid4()}"
                 record = record_bytes(
                     record_id, row.page_id, row.url, row.payload or b"", row.payload_digest,
                     row.payload_bytes, row.refers_to,
                 )
-                entries.append((row.page_id, record_id, *writer.add(record), len(record)))
+                page = None if row.page_id is None else int(row.page_id)
+                entries.append((page, record_id, name, *writer.add(record), len(record)))
                 if writer.written >= bundle_bytes:
-                    yield close()
-                    writer, entries = None, []
-        if entries:
-            yield close()
+                    close()
+                    writer = None
+            columns = ["page_id", "record_id", "bundle", "frame", "offset", "length"]
+            yield pd.DataFrame(entries, columns=columns, dtype=object)
+        if writer is not None:
+            close()
 
     marked = mark_revisits(pages, **columns)
     # A revisit needs no payload; it is not handed to Python.
@@ -258,53 +266,66 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{path}/index")
 
 
-def read_records(index: DataFrame) -> DataFrame:
+def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
     """The records that the index names, read by bundle, frame and offset.
 
     Length and digest of a response are those of the bytes read; a revisit has those of
     its headers and no payload. Entries of a frame that follow each other unpack it once.
+    Without ``payload`` the bytes are read and checked, but not returned.
     """
+    columns = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest"]
+    columns += ["payload"] if payload else []
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bundle, reader, place, frame = None, None, None, b""
+        bundle, file, reader, place, frame = None, None, None, None, b""
+        rows: list[Sequence] = []
+        held = 0
+
+        def handed() -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=columns, dtype=object)
+
         for batch in batches:
-            rows: list[Sequence] = []
             for row in batch.itertuples(index=False):
                 if row.bundle != bundle:
+                    if file is not None:
+                        file.close()
                     store, target = _open(row.bundle)
-                    bundle, reader, place = row.bundle, BundleReader(store.open_input_file(target)), None
+                    file = store.open_input_file(target)
+                    bundle, reader, place = row.bundle, BundleReader(file), None
                 if row.frame != place:
                     place, frame = row.frame, reader.frame(row.frame)
-                headers, payload = parse_record(frame[row.offset : row.offset + row.length])
+                headers, body = parse_record(frame[row.offset : row.offset + row.length])
                 kind = headers["WARC-Type"]
                 told = headers["WARC-Payload-Digest"].partition(":")[2]
                 n = int(headers["X-Payload-Length"])
                 if kind == "response":
-                    n, digest = len(payload), hashlib.sha256(payload).hexdigest()
+                    n, digest = len(body), hashlib.sha256(body).hexdigest()
                     if digest != told:
                         raise ValueError(f"record {row.record_id} is damaged")
                 page = headers.get("X-Page-ID")
                 refers = headers.get("X-Refers-To-Page-ID")
-                rows.append(
-                    (
-                        None if page is None else int(page), headers.get("WARC-Target-URI"), kind,
-                        None if refers is None else int(refers), n, told,
-                        payload if kind == "response" else None,
-                    )
+                record = (
+                    None if page is None else int(page), headers.get("WARC-Target-URI"), kind,
+                    None if refers is None else int(refers), n, told,
                 )
-            yield pd.DataFrame(
-                rows,
-                columns=[
-                    "page_id", "url", "record_type", "refers_to",
-                    "payload_bytes", "payload_digest", "payload",
-                ],
-                dtype=object,
-            )
-
-    return index.mapInPandas(read, RECORD_SCHEMA)
-
-
-def archive_round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
+                if payload:
+                    record += (body if kind == "response" else None,)
+                    held += len(body)
+                rows.append(record)
+                if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                    yield handed()
+                    rows, held = [], 0
+        if rows:
+            yield handed()
+        if file is not None:
+            file.close()
+
+    return index.mapInPandas(read, RECORD_SCHEMA if payload else HEADER_SCHEMA)
+
+
+def archive_round_trip(
+    pages: DataFrame, path: str | None = None, payload: bool = True
+) -> DataFrame:
     """Write all pages and read them back from the archives."""
     path = path or scratch_path(pages.sparkSession, "warc")
-    return read_records(write_archives(pages, path))
+    return read_records(write_archives(pages, path), payload)

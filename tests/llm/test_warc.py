@@ -62,10 +62,13 @@ def test_single_records_are_read_by_the_index(spark, tmp_path):
 
 
 def test_any_zstandard_reader_unpacks_a_bundle():
-    writer = warc.BundleWriter(frame_bytes=50)
+    out = io.BytesIO()
+    writer = warc.BundleWriter(out, frame_bytes=50)
     records = [b"%03d" % k * 7 for k in range(40)]
     places = [writer.add(r) for r in records]
-    data = writer.finish()
+    writer.finish()
+    data = out.getvalue()
+    assert len(data) == writer.written
     plain = zstandard.ZstdDecompressor().stream_reader(
         io.BytesIO(data), read_across_frames=True
     ).read()
@@ -81,6 +84,30 @@ def test_a_file_without_a_seek_table_is_refused():
         warc.BundleReader(File(zstandard.compress(b"x" * 100)))
 
 
+def test_large_pages_are_handed_on_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BATCH_BYTES", 250_000)
+    df = spark.range(30).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.concat(F.col("id").cast("string"), F.repeat(F.lit("q"), 100_000)).alias("html"),
+    )
+    read = warc.archive_round_trip(df, f"file://{tmp_path}/d")
+    sizes = read.select("page_id", F.octet_length("payload").alias("n"), "payload_bytes").collect()
+    assert {r["page_id"] for r in sizes} == set(range(30)) and len(sizes) == 30
+    assert all(r["n"] == r["payload_bytes"] == 100_000 + len(str(r["page_id"])) for r in sizes)
+    assert "payload" not in warc.read_records(warc.read_index(spark, f"file://{tmp_path}/d"), payload=False).columns
+
+
+def test_a_damaged_record_is_found(spark, tmp_path):
+    path = tmp_path / "e"
+    index = warc.write_archives(spark.createDataFrame([(1, "u", "some page " * 30)], PAGE), f"file://{path}")
+    (bundle,) = (path / "bundles").iterdir()
+    data = bytearray(bundle.read_bytes())
+    data[20] ^= 1
+    bundle.write_bytes(bytes(data))
+    with pytest.raises(Exception, match="damaged|corrupt|checksum|decompress"):
+        warc.read_records(index, payload=False).collect()
+
+
 def test_no_pages(spark, tmp_path):
     df = pages(spark).where("false")
     assert warc.archive_round_trip(df, f"file://{tmp_path}/c").count() == 0
