@@ -355,38 +355,60 @@ def format_chats(
     linked, orphans = link_results(calls, results)
     with_schema = lookup_join(linked, materialize(schemas), ["name"])
     checked = _checked(with_schema).withColumn("__id", F.col("call_id"))
-    placed = null_safe_join(_identified(checked), topological_places(calls), _KEYS, "left")
     no_errors = F.array().cast("array<string>")
+    no_key = F.lit(None).cast("string").alias("__key")
 
     def line(**fields: str) -> Column:
         pairs = ", ".join(f"'{k}', {v}" for k, v in sorted(fields.items()))
         return F.expr(f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))")
 
-    events = placed.select(
-        "conv_id", F.col("__id").alias("call_id"), "at", "step", "turn",
-        F.when(F.col("cyclic"), "cyclic").otherwise(F.col("__checked.status")).alias("status"),
-        F.col("__checked.errors").alias("errors"), F.col("__checked.json").alias("json"),
+    events = _identified(checked).select(
+        "conv_id", F.col("__id").alias("call_id"), F.col("call_id").alias("__key"), "turn",
+        "__checked.status", "__checked.errors", "__checked.json",
     ).unionByName(
         orphans.select(
-            "conv_id", "call_id", F.col("turn").alias("at"), F.lit(0).cast("long").alias("step"),
-            "turn", F.lit("orphan_result").alias("status"), no_errors.alias("errors"),
+            "conv_id", "call_id", no_key, "turn", F.lit("orphan_result").alias("status"),
+            no_errors.alias("errors"),
             line(id="call_id", result="content", type="'tool_result'").alias("json"),
         )
     ).unionByName(
         messages.select(
-            "conv_id", F.lit(None).cast("string").alias("call_id"), F.col("turn").alias("at"),
-            F.lit(0).cast("long").alias("step"), "turn", F.lit("message").alias("status"),
-            no_errors.alias("errors"),
+            "conv_id", F.lit(None).cast("string").alias("call_id"), no_key, "turn",
+            F.lit("message").alias("status"), no_errors.alias("errors"),
             line(content="content", role="role", type="'message'").alias("json"),
         )
     )
-    order = ["conv_id", "at", "step", "turn", "call_id", "status", "json"]
-    numbered = written(running_total(written(events, "events"), order, "__place"), "numbered")
+    # Numbered once and stored: texts stay where they lie while narrow rows are put in order.
+    events = written(events.withColumn("__row", F.monotonically_increasing_id()), "events")
+    placed = _places_of_events(events, topological_places(calls))
+    return events.drop("conv_id", "status").join(placed, "__row").select(
+        "conv_id", "place", "turn", "call_id", "status", "errors", "json"
+    )
+
+
+def _places_of_events(events: DataFrame, places: DataFrame) -> DataFrame:
+    """``__row``, conversation, place in it and final status of each event.
+
+    Events that agree in everything else are ordered by a hash of their JSON.
+    """
+    narrow = events.select(
+        "__row", "__key", "conv_id", "turn", "call_id", "status", F.xxhash64("json").alias("hash")
+    )
+    calls = null_safe_join(
+        narrow.where("__key IS NOT NULL"), places.withColumnRenamed("call_id", "__key"),
+        ["conv_id", "__key"], "left",
+    ).withColumn("status", F.when(F.col("cyclic"), "cyclic").otherwise(F.col("status")))
+    others = narrow.where("__key IS NULL").withColumns(
+        {"at": F.col("turn"), "step": F.lit(0).cast("long")}
+    )
+    rows = calls.drop("cyclic", "__key").unionByName(others.drop("__key"))
+    order = ["conv_id", "at", "step", "turn", "call_id", "status", "hash"]
+    numbered = running_total(rows, order, "__place").select("__row", "conv_id", "status", "__place")
+    numbered = written(numbered, "numbered")
     starts = materialize(numbered.groupBy("conv_id").agg(F.min("__place").alias("__first")))
     return lookup_join(numbered, starts, ["conv_id"]).select(
-        "conv_id", (F.col("__place") - F.col("__first")).alias("place"), "turn", "call_id",
-        "status", "errors", "json",
-    )
+        "__row", "conv_id", "status", (F.col("__place") - F.col("__first")).alias("place")
+    )
 
 
 def events_of_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
