@@ -117,36 +117,49 @@ def on_curve(rows: DataFrame, bits: int = BITS) -> DataFrame:
     )
 
 
-def assign_shards(documents: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """One row per document: its metadata, place on the curve, shard and slot in the shard.
-
-    Shards are consecutive runs along the curve whose row counts differ by one at most
-    (law ``rows``).
-    """
-    rows = on_curve(written(metadata(documents), "shards"), bits)
-    order = ("curve", "doc_id", "size")
-    placed = running_total(rows, order, "__position")
+def _assigned(rows: DataFrame, shards: int, bits: int) -> DataFrame:
+    """Stored rows, as ``metadata`` gives them, with curve, shard and slot."""
+    order = ("curve", "doc_id", "size", "text_crc32")
+    placed = running_total(on_curve(rows, bits), order, "__position")
     total = max(rows.count(), 1)
     shard = F.expr(f"CAST(__position * {shards} DIV {total} AS INT)")
     start = F.expr(f"(shard * {total}L + {shards - 1}) DIV {shards}")
     return (
         placed.withColumn("shard", shard)
         .withColumn("slot", (F.col("__position") - start).cast("long"))
-        .withColumn("law", F.lit("rows"))
-        .withColumn("grown_shard", F.lit(None).cast("int"))
         .drop("__position")
     )
 
 
+def assign_shards(documents: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+    """One row per document: its metadata, place on the curve, shard and slot in the shard.
+
+    Shards are consecutive runs along the curve whose row counts differ by one at most
+    (law ``rows``).
+    """
+    assigned = _assigned(written(metadata(documents), "shards"), shards, bits)
+    return assigned.withColumn("law", F.lit("rows")).withColumn(
+        "grown_shard", F.lit(None).cast("int")
+    )
+
+
 def write_shards(documents: DataFrame, path: str, shards: int = SHARDS, bits: int = BITS) -> None:
-    """Write the documents as one folder per shard, each sorted along the curve.
+    """Write the documents as one folder per shard, the shards of ``assign_shards``.
 
-    The cuts are those of range partitioning, whose runs are close to equal but not
-    exactly so; files are kept whole so that their column ranges stay narrow.
+    Only metadata is put in order along the curve. The documents are then dealt by ranges
+    of shard and slot and sorted inside of them, so a shard has as many files as ranges,
+    each a run along the curve with narrow column ranges, and no task writes a whole shard.
     """
     columns = [F.col(f"`{c}`") for c in documents.columns]
-    rows = metadata(documents.withColumn("__row", F.struct(*columns)), also=["__row"])
-    order = ("curve", "doc_id", "size")
-    cut = on_curve(rows, bits).repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    shard = F.spark_partition_id().alias("__shard")
-    cut.select("__row", shard).select("__row.*", "__shard").write.partitionBy("__shard").parquet(path)
+    # Numbered once and stored: the number of a row must not change between the two reads.
+    stored = written(
+        documents.select(
+            F.struct(*columns).alias("__row"), F.monotonically_increasing_id().alias("__number")
+        ),
+        "shards",
+    )
+    rows = written(metadata(stored.select("__row.*", "__number"), also=["__number"]), "shards")
+    places = _assigned(rows, shards, bits).select("__number", F.col("shard").alias("__shard"), "slot")
+    dealt = stored.join(places, "__number").repartitionByRange("__shard", "slot")
+    ordered = dealt.sortWithinPartitions("__shard", "slot").select("__row.*", "__shard")
+    ordered.write.partitionBy("__shard").parquet(path)

@@ -69,11 +69,26 @@ def test_fewer_rows_than_shards_and_none(spark):
 
 
 def test_written_shards_hold_all_rows_in_curve_order(spark, tmp_path):
-    df = corpus(spark).where("doc_id IS NOT NULL")
+    df = corpus(spark)
     sharding.write_shards(df, str(tmp_path / "shards"), 4)
     read = spark.read.parquet(str(tmp_path / "shards"))
-    assert read.select("__shard").distinct().count() == 4
     assert read.select(*df.columns).exceptAll(df).isEmpty() and read.count() == df.count()
+    # The file of a document is in the shard that is reported for it.
+    reported = sharding.assign_shards(df, 4).groupBy("doc_id", "shard").count()
+    stored = read.groupBy("doc_id", F.col("__shard").alias("shard")).count()
+    assert reported.exceptAll(stored).isEmpty() and stored.exceptAll(reported).isEmpty()
+    sizes = [r["count"] for r in read.groupBy("__shard").count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+
+
+def test_rows_that_agree_in_id_and_size_have_places_of_their_own(spark):
+    rows = [(1, f"text {k}", "s", "en") for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    first, again = (
+        sorted(map(tuple, sharding.assign_shards(d, 3).select("text_crc32", "shard", "slot").collect()))
+        for d in (df, df.orderBy(F.desc("text")))
+    )
+    assert first == again and len(first) == 8
 
 
 def test_running_totals_over_ranges(spark):
