@@ -3,13 +3,17 @@
 Candidates are stretches that could be a key, token or password: twelve or more characters
 of an encoding alphabet with a letter and a digit among them; values of any length and
 characters assigned to a name like ``password``, with or without quotes and white space
-around the sign; and the password of a URL (``scheme://user:password@host``). Each is
+around the sign; runs of ``LETTERS`` or more letters; and the password of a URL
+(``scheme://user:password@host``). Each is
 described by its length, the changes of character class along it, the part of it that
 dictionary words cover, its path, and the words around it. A random forest trained on
 labelled findings gives the probability that a candidate is a secret.
 
-A value ends at white space: of a quoted phrase the first word is the candidate. Short or
-letters-only values that are neither assigned nor in a URL are not candidates.
+A quoted value that is assigned is one candidate up to its closing quote, if that stands on
+the same line; spaces and tabs in it are shown as spaces, and it counts as one word in
+``place``. Any other value ends at white space. Values that are neither assigned nor in a URL
+are candidates only if they are as long as said. Of letters-only runs without a telling
+word nearby the forest takes those of mixed case only: others may be long words.
 
 The forest is trained by Spark ML on at most ``MAX_FINDINGS`` labelled findings, the first by
 a hash, and then written out as one SQL expression, so scanning is built-in expressions only.
@@ -34,19 +38,25 @@ from pricepanel.llm.common import let, words_of
 
 MAX_FINDINGS = 20_000
 TREES = 20
-DEPTH = 6
+DEPTH = 8
 SEED = 17
 THRESHOLD = 0.5
+# Letters that a letters-only run needs.
+LETTERS = 24
 
 _RUN = "[A-Za-z0-9+/_-]"
 # A run with a letter and a digit; only its first position is tried.
-_ENCODED = f"(?<!{_RUN})(?={_RUN}*[0-9])(?={_RUN}*[A-Za-z]){_RUN}{{12,}}={{0,2}}"
+_ENCODED = (
+    f"(?<!{_RUN})(?:(?={_RUN}*[0-9])(?={_RUN}*[A-Za-z]){_RUN}{{12,}}={{0,2}}"
+    f"|[A-Za-z]{{{LETTERS},}}+(?!{_RUN})={{0,2}})"
+)
 _NAMES = "pass|password|passwd|pwd|secret|token|api_key|apikey|key"
 _ASSIGN = f"(?:{_NAMES})[\"']?\\]?\\s*+[=:]{{1,3}}+>?+\\s*+(?:[\"'](?=[^\\s\"'])|(?=[^\\s\"',;]))"
 _LOGIN = "://[^\\s/:@]*+:(?=[^\\s/]+@)"
 _IN_TEXT = f"(?i){_ASSIGN}|{_LOGIN}|{_ENCODED}"
-# Put before an assigned value and before a URL's password; Unicode keeps both out of texts.
-_MARK, _URL_MARK = "\ufdd0", "\ufdd1"
+# Put before an assigned value, before a URL's password and in place of a space in a quoted
+# value; Unicode keeps all of them out of texts.
+_MARK, _URL_MARK, _SPACE = "\ufdd0", "\ufdd1", "\ufdd2"
 _IN_WORD = (
     f"(?i)(?<={_URL_MARK})[^\\s/]+(?=@)"
     # A URL with a password is not a value itself.
@@ -88,14 +98,21 @@ FEATURES = (
 
 
 def _marked(text: Column) -> Column:
-    """A text with a mark before each assigned value and each password of a URL."""
-    plain = F.translate(text, _MARK + _URL_MARK, "\ufffd\ufffd")
-    assigned = F.regexp_replace(plain, f"(?i){_ASSIGN}", f"$0{_MARK}")
-    return F.regexp_replace(assigned, f"{_LOGIN}", f"$0{_URL_MARK}")
+    """A text with a mark before each assigned value and each password of a URL.
+
+    White space inside of quoted values is marked too, so that each stays one word.
+    """
+    marked = F.translate(text, _MARK + _URL_MARK + _SPACE, "\ufffd" * 3)
+    marked = F.regexp_replace(marked, f"(?i){_ASSIGN}", f"$0{_MARK}")
+    for quote in "\"'":
+        # From a quote that is closed on its line, and then on from the last space.
+        start = f"(?<={quote}{_MARK})(?=[^{quote}\\n\\x0B\\f\\r]*+{quote})|(?!^)\\G"
+        marked = F.regexp_replace(marked, f"((?:{start})[^\\s{quote}]*+)[ \\t]", f"$1{_SPACE}")
+    return F.regexp_replace(marked, f"{_LOGIN}", f"$0{_URL_MARK}")
 
 
 def _unmarked(text: Column) -> Column:
-    return F.translate(text, _MARK + _URL_MARK, "")
+    return F.translate(text, _SPACE + _MARK + _URL_MARK, " ")
 
 
 def candidates(
@@ -174,7 +191,7 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumns({name: columns[name].cast("double") for name in FEATURES})
 
 
-def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
+def labelled_findings(spark: SparkSession, n: int = 8_000) -> DataFrame:
     """Findings made by a rule, ``label`` 1 for secrets."""
     made = spark.range(n).select(
         "id",
@@ -192,6 +209,8 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
             "letters": F.translate(F.substring("hex", 60, 30), "0123456789", "ghijklmnop"),
             "mixed": F.expr("concat(upper(substr(hex, 70, 1)), translate(substr(hex, 71, 3 + id % 5), "
                             "'0123', 'rstu'), substr('!$%^&*#?', 1 + id % 8, 1), substr(hex, 80, 1 + id % 3))"),
+            "cased": F.translate(F.translate(F.base64(F.unhex(F.substring("hex", 1, 96))), "+/=", "xy"),
+                                 "0123456789", "KvTqZbWgLs"),
             "named": F.expr("element_at(array('password', 'pwd', 'secret', 'db_password', 'passwd'), "
                             "1 + CAST(conv(substr(hex, 30, 4), 16, 10) % 5 AS INT))"),
             "sign": F.expr("IF(substr(hex, 34, 1) < '8', '=', ':')"),
@@ -217,7 +236,20 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
         (2, "substr(letters, 1, 7 + id % 14)", "other", "concat(named, ':')", "{}"),
         (2, "mixed", "word", "other", "postgres://admin:{}@db.host/data"),
         (2, "substr(letters, 1, 6 + id % 14)", "word", "other", "https://user:{}@host/path"),
+        (2, "concat_ws(' ', substr(letters, 1, 4 + id % 4), substr(letters, 9, 5), substr(letters, 15, 7))",
+            "named", "sign", "\"{}\""),
+        (2, "concat_ws(' ', substr(letters, 1, 3 + id % 5), mixed)", "other", "concat(named, ':')", "\"{}\""),
+        (1, "substr(cased, 1, 24 + id % 24)", "word", "'Bearer'", "{}"),
+        (1, "substr(cased, 1, 24 + id % 24)", "word", "other", "{}"),
+        (1, "substr(letters, 1, 24 + id % 7)", "'Authorization:'", "'Bearer'", "{}"),
         (0, "word", "named", "sign", "{}"),
+        (0, "concat_ws(' ', 'enter', 'your', named)", "named", "sign", "\"{}\""),
+        (0, "concat_ws(' ', word, other, third)", "other", "concat(named, ':')", "\"{}\""),
+        (0, "concat_ws(' ', substr(letters, 1, 5), word, substr(letters, 9, 6))", "'key'", "sign", "\"{}\""),
+        (0, "concat(word, initcap(other), initcap(third), initcap(word), 'Listener')", "word", "third", "{}"),
+        (0, "concat(word, other, third, word, other)", "word", "other", "{}"),
+        (0, "substr(letters, 1, 24 + id % 7)", "word", "other", "{}"),
+        (0, "repeat(substr(letters, 1, 1 + id % 2), 30)", "word", "other", "{}"),
         (0, "concat(word, other)", "other", "concat(named, ':')", "{}"),
         (0, "concat('$', '{', word, '}')", "named", "sign", "\"{}\""),
         (0, "concat('your_', named)", "named", "sign", "\"{}\""),

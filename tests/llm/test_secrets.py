@@ -136,3 +136,34 @@ def test_keys_are_secrets_whatever_the_path(documents):
     assert [r["is_secret"] for r in secrets.scan(df).collect()] == [True] * 5
     told = secrets.with_features(secrets.candidates(df)).orderBy("doc_id").collect()
     assert [r["example_path"] for r in told] == [0, 0, 0, 1, 0]
+
+
+def test_quoted_values_are_whole(documents):
+    texts = {
+        'password = "correct horse battery staple" end': [(2, "correct horse battery staple")],
+        "x pwd='a\tb  c ' y": [(1, "a b  c ")],
+        'pwd = "open only': [(2, "open")], 'pwd = "ab\ncd"': [(2, "ab")],
+        'pwd="a b" key=\'c d\' z': [(0, "a b"), (1, "c d")],
+        "secret: \"it's here\" 'or there'": [(1, "it's here")],
+        'secret = "' + "ab " * 50_000 + 'c"': [(2, "ab " * 50_000 + "c")],
+        "secret = \"a﷒b c\"": [(2, "a�b c")],
+    }
+    df = documents(*enumerate(texts))
+    got = {}
+    for r in secrets.candidates(df).collect():
+        got.setdefault(r["doc_id"], []).append((r["place"], r["candidate"]))
+    assert got == dict(enumerate(texts.values()))
+
+
+def test_phrases_and_letters_only_tokens_are_judged(documents):
+    letters = "qXfTnKzVbWmRgLpYdHsJcAeUoIqZtBvM"
+    good = [
+        'password = "correct horse battery staple"', f"Authorization: Bearer {letters}",
+        f"value {letters} end", "db_password: 'purple monkey dishwasher'",
+    ]
+    bad = [
+        'password = "enter your password"', "see floccinaucinihilipilification there",
+        "the UserAccountManagerResponseListener class", "row " + "ab" * 20,
+    ]
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(documents(*enumerate(good + bad))).collect()}
+    assert [got[k] for k in range(len(good + bad))] == [True] * 4 + [False] * 4
