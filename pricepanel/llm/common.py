@@ -25,6 +25,14 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called that."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """Words of a text: the stretches without ASCII white space; a null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricepanel.llm.common import unused_name
+
 WINDOW = 13
 BLOCK_WORDS = 1_000_000
 MAX_BENCHMARK_BYTES = 256 * 1024 * 1024
@@ -198,5 +200,6 @@ def contaminated(hits: Column, share: int = HIT_SHARE) -> Column:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not contaminated, as they are."""
-    marked = mark_hits(documents, benchmark, text, result="__hits")
-    return marked.where(~contaminated(F.col("__hits"))).drop("__hits")
+    hits = unused_name(documents, "__hits")
+    marked = mark_hits(documents, benchmark, text, result=hits)
+    return marked.where(~contaminated(F.col(hits))).drop(hits)

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricepanel.llm.common import let, words_of, written
+from pricepanel.llm.common import let, unused_name, words_of, written
 from pricepanel.tables import lookup_join, materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -218,7 +218,8 @@ def keep_good(
     def failing(rule: Callable[[Column, Limits], Column]) -> Column:
         return let(measures(F.col(text)), lambda m: rule(m, limits))
 
-    failures = documents.select(F.col(host).alias("__host"), failing(any_failed).alias("__failed"))
-    verdicts = host_verdicts(failures, "__host", limits).where("rejected").select("__host")
-    kept = documents.where(~failing(base_failed)).withColumn("__host", F.col(host))
-    return lookup_join(kept, materialize(verdicts), ["__host"], "left_anti").drop("__host")
+    key = unused_name(documents, "__host")
+    failures = documents.select(F.col(host).alias(key), failing(any_failed).alias("__failed"))
+    verdicts = host_verdicts(failures, key, limits).where("rejected").select(key)
+    kept = documents.where(~failing(base_failed)).withColumn(key, F.col(host))
+    return lookup_join(kept, materialize(verdicts), [key], "left_anti").drop(key)

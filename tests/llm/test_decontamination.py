@@ -94,8 +94,9 @@ def test_blocks_of_items_give_the_same(spark, documents):
 
 def test_contaminated_documents_go(spark, documents):
     df, benchmark, texts, items = tables(spark, documents)
-    kept = dc.remove_contaminated(df, benchmark)
-    assert kept.columns == df.columns
+    kept = dc.remove_contaminated(df.withColumn("__hits", F.lit("own")), benchmark)
+    assert kept.columns == [*df.columns, "__hits"]
+    assert {r["__hits"] for r in kept.collect()} == {"own"}
     wanted = []
     for k, text in texts:
         n, hit, _ = brute(text, items)

@@ -58,7 +58,7 @@ def test_edge_cases(documents, as_sql):
     good = " ".join(f"w{i}" for i in range(60))
     df = documents(
         (1, None), (2, ""), (3, " \n\t"), (4, long), (5, good), (5, good, None), (6, "b " * 80),
-        (None, good, None), extra=("kept", "host", "m", "__failed"),
+        (None, good, None), extra=("kept", "host", "m", "__failed", "__host"),
     )
     judged = quality_rules.judge(df).drop("host_rejected")
     assert by_name(judged) == as_sql(oracle.QUALITY_RULES, documents=df)
