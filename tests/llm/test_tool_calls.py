@@ -204,5 +204,57 @@ def test_circles_match_a_plain_version(spark):
     assert not wanted[99, "x"][2] and wanted[99, "p"][2] and not wanted[99, "y"][2]
 
 
+def plain_chats(rows):
+    """What the registered query gives, in plain Python: links, order, statuses and JSON."""
+
+    def line(**fields):
+        return json.dumps(fields, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+    chats = {}
+    for conv, turn, role, text in rows:
+        chats.setdefault(conv, []).append((turn, role, text))
+    found = []
+    for conv, turns in chats.items():
+        asked = {t for t, role, _ in turns if role == "user"}
+        told = {}
+        for t, role, text in sorted(turns, key=lambda x: (x[0], x[2] is not None, x[2] or "")):
+            if role == "assistant":
+                told.setdefault(t - 1, text)
+        events = []
+        for t, role, text in turns:
+            if role == "user":
+                broken = {None: ["$.text: not of type string"], "": ["$.text: length below 1"]}
+                errors = broken.get(text, [])
+                status = "ok" if t in told else "missing_result"
+                status = "invalid_arguments" if errors else status
+                shown = line(id=f"call_{t}", name="answer", type="tool_call", result=told.get(t),
+                             arguments={"text": text, "turn": t})
+                events.append((t, f"call_{t}", status, errors, shown))
+            elif role == "assistant":
+                if t - 1 not in asked:
+                    shown = line(id=f"call_{t - 1}", result=text, type="tool_result")
+                    events.append((t, f"call_{t - 1}", "orphan_result", [], shown))
+            else:
+                events.append((t, None, "message", [], line(content=text, role=role, type="message")))
+        # A call depends on an earlier turn only, so the order of turns is topological.
+        events.sort(key=lambda e: (e[0], e[1] is not None, e[1] or "", e[2]))
+        found += [(conv, place, *event) for place, event in enumerate(events)]
+    return found
+
+
+def test_the_registered_query_matches_a_plain_version(spark):
+    from pricepanel.llm import queries
+
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    got = [
+        (r["conv_id"], r["place"], r["turn"], r["call_id"], r["status"], list(r["errors"]), r["json"])
+        for r in queries.op7_tool_calls(spark, folder).collect()
+    ]
+    assert sorted(got, key=repr) == sorted(plain_chats(rows), key=repr)
+    assert {r[4] for r in got} >= {"ok", "missing_result", "message"}
+
+
 def test_no_conversation_is_gathered_in_python():
     assert "applyInPandas" not in Path(tc.__file__).read_text()
